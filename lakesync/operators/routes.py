@@ -6,10 +6,11 @@ distinct catalog rows, so patterns are matched once per table and never per chan
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.functions import shards
@@ -103,21 +104,35 @@ def rules_from_config(instance: str, details: dict) -> list[DatabaseRule]:
     return rules
 
 
-def rules_frame(spark: SparkSession, rules: Sequence[DatabaseRule]) -> DataFrame:
-    """One row per instance with its rules as an array in configuration order."""
+def rules_constant(rules: Sequence[DatabaseRule]) -> Column:
+    """Rules as one constant: instance -> its rules in configuration order.
+
+    Being a constant, they need no join and travel with the plan.
+    """
     per_instance: dict[str, list] = {}
     for r in rules:
-        shard_rows = [
-            (
-                s.target, s.pattern, s.sharding, shards.shard_count(s.count), s.shard_field,
-                s.batch_size if s.batch_size > 0 else BATCH_SIZE, s.nodata,
-            )
+        shard_rules = [
+            {
+                "target": s.target,
+                "pattern": s.pattern,
+                "sharding": s.sharding,
+                "shard_count": shards.shard_count(s.count),
+                "shard_field": s.shard_field,
+                "batch_size": s.batch_size if s.batch_size > 0 else BATCH_SIZE,
+                "nodata": s.nodata,
+            }
             for s in r.shards
         ]
-        tables = None if r.tables is None else list(r.tables)
-        row = (r.name, r.pattern or None, r.target or None, r.sync_type, tables, shard_rows)
-        per_instance.setdefault(r.instance, []).append(row)
-    return spark.createDataFrame(list(per_instance.items()), f"instance string, rules array<{_RULE}>")
+        rule = {
+            "name": r.name,
+            "pattern": r.pattern or None,
+            "target": r.target or None,
+            "sync_type": r.sync_type,
+            "tables": None if r.tables is None else list(r.tables),
+            "shards": shard_rules,
+        }
+        per_instance.setdefault(r.instance, []).append(rule)
+    return F.from_json(F.lit(json.dumps(per_instance)), f"map<string, array<{_RULE}>>")
 
 
 def full_match(name: Column, pattern: Column) -> Column:
@@ -137,29 +152,19 @@ def table_selected(sync_type: Column, tables: Column, table: Column) -> Column:
     return F.coalesce(chosen, F.lit(False))
 
 
-def resolve_databases(catalog: DataFrame, rules: DataFrame) -> DataFrame:
+def resolve_databases(catalog: DataFrame, rules: Sequence[DatabaseRule]) -> DataFrame:
     """Source database -> target database by the first matching rule of its instance."""
-    dbs = catalog.select("instance", "db").distinct()
-    ruled = dbs.join(bounded_broadcast(rules), "instance").withColumn("rule", _first_rule())
-    return ruled.where(F.col("rule").isNotNull()).select(
-        "instance",
-        F.col("db").alias("src_db"),
-        F.coalesce("rule.target", "db").alias("dst_db"),
-    )
+    dbs = _ruled(catalog.select("instance", "db").distinct(), rules)
+    return dbs.select("instance", F.col("db").alias("src_db"), F.coalesce("rule.target", "db").alias("dst_db"))
 
 
-def resolve_routes(catalog: DataFrame, rules: DataFrame) -> DataFrame:
+def resolve_routes(catalog: DataFrame, rules: Sequence[DatabaseRule]) -> DataFrame:
     """Catalog rows (instance, db, table) to ROUTE rows.
 
     Per table: the first rule of the database, then its shard patterns in order, then
     the table list. Tables no rule takes have no route.
     """
-    ruled = (
-        catalog.select("instance", "db", "table")
-        .join(bounded_broadcast(rules), "instance")
-        .withColumn("rule", _first_rule())
-        .where(F.col("rule").isNotNull())
-    )
+    ruled = _ruled(catalog.select("instance", "db", "table"), rules)
     hit = F.get(F.filter("rule.shards", lambda s: full_match(F.col("table"), s["pattern"])), F.lit(0))
     listed = table_selected(F.col("rule.sync_type"), F.col("rule.tables"), F.col("table"))
     sharded = ruled.withColumn("hit", hit).where(F.col("hit").isNotNull() | listed)
@@ -255,12 +260,13 @@ def new_routes(routes: DataFrame, done: DataFrame) -> DataFrame:
     return routes.join(done.select(*keys), keys, "left_anti")
 
 
-def _first_rule() -> Column:
-    return F.get(
-        F.filter(
-            "rules",
-            lambda r: F.coalesce(full_match(F.col("db"), r["pattern"]), F.lit(False))
-            | (r["name"] == F.col("db")),
-        ),
-        F.lit(0),
-    )
+def _ruled(catalog: DataFrame, rules: Sequence[DatabaseRule]) -> DataFrame:
+    """Catalog rows with their first matching rule, unmatched ones left out."""
+
+    def takes(rule: Column) -> Column:
+        by_pattern = F.coalesce(full_match(F.col("db"), rule["pattern"]), F.lit(False))
+        return by_pattern | (rule["name"] == F.col("db"))
+
+    candidates = rules_constant(rules)[F.col("instance")]
+    ruled = catalog.withColumn("rule", F.get(F.filter(candidates, takes), F.lit(0)))
+    return ruled.where(F.col("rule").isNotNull())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakesync.functions import types as T
 from lakesync.functions.types import ColumnSpec
-from lakesync.operators.routes import ALL, EXCLUDE, INCLUDE, DatabaseRule, ShardRule, resolve_routes, rules_frame
+from lakesync.operators.routes import ALL, EXCLUDE, INCLUDE, DatabaseRule, ShardRule, resolve_routes
 from lakesync.session import checkpointed, configure
 from lakesync.sources import catalog
 
@@ -142,7 +142,7 @@ def shop_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop_routes(spark: SparkSession, sf_dir: str, rules=None) -> DataFrame:
     """Resolved routes, written once: metadata must not recompute its catalog scan per use."""
-    routes = resolve_routes(shop_catalog(spark, sf_dir), rules_frame(spark, rules or SHOP_RULES))
+    routes = resolve_routes(shop_catalog(spark, sf_dir), rules or SHOP_RULES)
     return checkpointed(routes)
 
 
@@ -168,7 +168,7 @@ def shop_meta(tables: DataFrame, autoincrement: bool = False) -> DataFrame:
 def keyed_routes(spark: SparkSession, sf_dir: str, rules=None, autoincrement: bool = False) -> DataFrame:
     """Routes with key columns, as the multi-table job needs them."""
     tables = shop_catalog(spark, sf_dir)
-    routes = resolve_routes(tables, rules_frame(spark, rules or SHOP_RULES))
+    routes = resolve_routes(tables, rules or SHOP_RULES)
     return checkpointed(catalog.with_keys(routes, shop_meta(tables.drop("instance"), autoincrement)))
 
 

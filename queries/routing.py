@@ -31,8 +31,7 @@ def routes_resolved(spark, sf_dir):
 
 def databases_resolved(spark, sf_dir):
     """Source database to target database."""
-    rules = R.rules_frame(spark, E.MIXED_RULES)
-    return R.resolve_databases(E.shop_catalog(spark, sf_dir), rules)
+    return R.resolve_databases(E.shop_catalog(spark, sf_dir), E.MIXED_RULES)
 
 
 def routed_counts(spark, sf_dir):
@@ -62,7 +61,7 @@ def route_collisions(spark, sf_dir):
     rules = [
         R.DatabaseRule(i, "shop", pattern="shop_[0-9]+_db", target="shop_db", shards=(flat, merged)) for i in ("i0", "i1")
     ]
-    return R.route_collisions(R.resolve_routes(doubled, R.rules_frame(spark, rules)))
+    return R.route_collisions(R.resolve_routes(doubled, rules))
 
 
 def merged_shards(spark, sf_dir):
