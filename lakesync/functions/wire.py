@@ -172,10 +172,12 @@ def typed_field(
     target_zone: str = "UTC",
     shift: int = 0,
     widen_unsigned: bool = False,
+    number: Column | None = None,
 ) -> Column:
     """One field of a VARIANT row as its target type; NULL if absent or not convertible.
 
-    Time values may also arrive as text that an earlier hop already rendered.
+    Time values may also arrive as text that an earlier hop already rendered. `number`
+    is the field as a number where the caller has read it already.
     """
     path = field_path(spec.name)
 
@@ -185,7 +187,7 @@ def typed_field(
     kind = spec.spark_type(widen_unsigned)
     wire = spec.wire_type
     text = F.nullif(get("string"), F.lit(""))
-    number = get("bigint")
+    number = get("bigint") if number is None else number
     if wire in (T.DATE, T.CONNECT_DATE):
         value = F.coalesce(date_from_days(number), _without_zero_date(text).try_cast("date"))
     elif wire in (T.TIMESTAMP, T.CONNECT_TIMESTAMP):
@@ -217,6 +219,14 @@ def typed_field(
     return value
 
 
+def read_as_number(spec: T.ColumnSpec) -> bool:
+    """Whether the field is a clock that usually arrives as a number."""
+    return spec.wire_type in (
+        T.DATE, T.CONNECT_DATE, T.TIMESTAMP, T.CONNECT_TIMESTAMP, T.MICRO_TIMESTAMP, T.NANO_TIMESTAMP,
+        T.CONNECT_TIME, T.MICRO_TIME, T.NANO_TIME,
+    )
+
+
 def array_field(row: Column, name: str, element: str) -> Column:
     """Array of typed elements."""
     return F.try_variant_get(row, field_path(name), f"array<{element}>")

@@ -36,11 +36,23 @@ def typed_rows(
     literal for one value per batch).
     """
     row = F.col("row")
-    values = {
-        c.name: wire.typed_field(row, c, target_zone, shift, widen_unsigned) for c in columns
+    clocks = {c.name: f"_number_{i}" for i, c in enumerate(columns) if wire.read_as_number(c)}
+    numbers = {
+        n: F.try_variant_get(row, wire.field_path(name), "bigint") for name, n in clocks.items()
     }
-    unfit = [_unfit(row, c, values[c.name]) for c in columns]
-    missing = [values[c.name].isNull() for c in columns if c.is_pk or c.required]
+    fields = {
+        f"_value_{i}": wire.typed_field(
+            row, c, target_zone, shift, widen_unsigned, F.col(clocks[c.name]) if c.name in clocks else None
+        )
+        for i, c in enumerate(columns)
+    }
+    # Each step reads the results of the one before, so a field is converted once for
+    # its value and its check together.
+    typed = changes.withColumns(numbers).withColumns(fields) if numbers else changes.withColumns(fields)
+    values = {c.name: F.col(f"_value_{i}") for i, c in enumerate(columns)}
+    bad = _any([_unfit(row, c, values[c.name]) for c in columns])
+    absent = _any([values[c.name].isNull() for c in columns if c.is_pk or c.required])
+
     out = [c if isinstance(c, Column) else F.col(c) for c in carry]
     if lineage:
         out += [F.col("db").alias(S.DB_NAME), F.col("table").alias(S.TABLE_NAME)]
@@ -50,11 +62,9 @@ def typed_rows(
     if f_ts is not None:
         stamp = f_ts if isinstance(f_ts, Column) else F.lit(f_ts)
         out.append(stamp.cast("bigint").alias(S.SYNC_TS))
-    reason = F.when(F.col("_reason").isNotNull(), F.col("_reason")) if "_reason" in changes.columns else None
-    bad, absent = _any(unfit), _any(missing)
-    checks = reason.when(bad, BAD_CAST) if reason is not None else F.when(bad, BAD_CAST)
-    checks = checks.when(absent, MISSING_KEY)
-    return S.evaluated_once(changes, [*out, checks.alias("_reason")])
+    earlier = F.col(S.REASON) if S.REASON in changes.columns else F.lit(None).cast("string")
+    reason = F.coalesce(earlier, F.when(bad, BAD_CAST).when(absent, MISSING_KEY))
+    return S.evaluated_once(typed, [*out, reason.alias(S.REASON)])
 
 
 def sync_time() -> Column:
