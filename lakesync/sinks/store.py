@@ -4,7 +4,8 @@ Layout below the root:
   changes/batch_id=N/dst_db=../dst_table=..   state rows of one batch
   base/version=V/dst_db=../dst_table=..       compacted state rows
   commits/batch_id=N                          marks a complete batch
-  versions/version=V                          marks a complete base and what it holds
+  versions/version=V                          marks a complete compaction, the versions that
+                                              are live after it and the batches they hold
 
 A batch overwrites its own folder, so a retry changes nothing, and counts only once
 its commit exists. Many targets share one store and one write: there is no query
@@ -46,55 +47,59 @@ class StateStore:
         self._write(states, f"{self.root}/changes/batch_id={batch_id}")
         self._mark(f"{self.root}/commits/batch_id={batch_id}", {"batch": batch_id})
 
-    def compact(self, drop_deleted_before: tuple[int, int] | None = None) -> int:
-        """Fold base and committed batches into a new base and publish it.
+    def compact(self, *, full: bool = True, drop_deleted_before: tuple[int, int] | None = None) -> int:
+        """Fold committed batches into a new version and publish it.
 
-        Deleted keys stay as markers so that a late older change cannot revive them;
-        markers below a log position (file number, position) may be dropped once
-        nothing older can arrive.
+        A full compaction rewrites base and batches into one base. Otherwise only the
+        batches are folded, next to the base, so frequent compactions cost what arrived
+        and not what is stored.
+
+        Deleted keys stay as markers so that a late older change cannot revive them; a
+        full compaction may drop markers below a log position (file number, position)
+        once nothing older can arrive.
         """
-        base, batches = self._published(), self.batches()
-        version = (base["version"] if base else 0) + 1
-        states = self.states()
+        if drop_deleted_before is not None and not full:
+            raise ValueError("only a full compaction may drop markers")
+        published, batches = self._published(), self.batches()
+        version = published["version"] + 1
+        states = self.states() if full else fold.merge(self._batch_states(batches), KEYS)
         if drop_deleted_before is not None:
             file_no, pos = drop_deleted_before
             bound = F.struct(F.lit(file_no).cast("bigint").alias("a"), F.lit(pos).cast("bigint").alias("b"))
             at = F.struct(F.col("last_ord.file_no").alias("a"), F.col("last_ord.pos").alias("b"))
             states = states.where(~((F.col("last_op") == S.DELETE) & (at < bound)))
         self._write(states, f"{self.root}/base/version={version}")
-        folded = sorted({*(base["folded"] if base else ()), *batches})
-        self._mark(f"{self.root}/versions/version={version}", {"version": version, "folded": _ranges(folded)})
+        live = [version] if full else [*published["live"], version]
+        folded = sorted({*published["folded"], *batches})
+        mark = {"version": version, "live": _ranges(live), "folded": _ranges(folded)}
+        self._mark(f"{self.root}/versions/version={version}", mark)
         return version
 
     def expire(self) -> list[str]:
-        """Delete folded batches and old bases; returns the removed folders."""
-        base = self._published()
-        if base is None:
-            return []
-        old = [f"changes/batch_id={b}" for b in base["folded"]]
-        old += [f"base/version={v}" for v in range(1, base["version"])]
+        """Delete folded batches and versions that are no longer live; returns the folders.
+
+        Run it once no reader of an older version is left.
+        """
+        published = self._published()
+        dead = set(range(1, published["version"] + 1)) - set(published["live"])
+        old = [f"changes/batch_id={b}" for b in published["folded"]]
+        old += [f"base/version={v}" for v in sorted(dead)]
         return [p for p in old if self._delete(f"{self.root}/{p}")]
 
     # -- reading --
 
     def batches(self) -> list[int]:
-        """Committed batches that the base does not hold."""
+        """Committed batches that no version holds."""
         done = {r["batch"] for r in self._read_marks("commits", "batch bigint")}
-        base = self._published()
-        return sorted(done - set(base["folded"] if base else ()))
+        return sorted(done - set(self._published()["folded"]))
 
     def raw_states(self) -> DataFrame:
-        """Base and batches, several rows per key."""
-        base = self._published()
-        parts = []
-        if base is not None:
-            parts.append(self._load("base", [f"version={base['version']}"], "version"))
-        batches = self.batches()
-        if batches:
-            parts.append(self._load("changes", [f"batch_id={b}" for b in batches], "batch_id"))
-        if not parts:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        """Live versions and batches, several rows per key."""
+        live = self._published()["live"]
+        batches = self._batch_states(self.batches())
+        if not live:
+            return batches
+        return self._load("base", [f"version={v}" for v in live], "version").unionByName(batches)
 
     def states(self, dst_db: str | None = None, dst_table: str | None = None) -> DataFrame:
         """One state row per key; a target given by name is read from its folders only."""
@@ -135,6 +140,11 @@ class StateStore:
         read = self.spark.read.schema(schema).option("basePath", base)
         return read.parquet(*[f"{base}/{f}" for f in folders]).drop(tag)
 
+    def _batch_states(self, batches: list[int]) -> DataFrame:
+        if not batches:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        return self._load("changes", [f"batch_id={b}" for b in batches], "batch_id")
+
     def _mark(self, path: str, fields: dict) -> None:
         columns = [_literal(v).alias(k) for k, v in fields.items()]
         self.spark.range(1, numPartitions=1).select(*columns).write.mode("overwrite").json(path)
@@ -144,13 +154,15 @@ class StateStore:
             return []
         return self.spark.read.schema(schema).json(f"{self.root}/{kind}/*").collect()
 
-    def _published(self) -> dict | None:
-        marks = self._read_marks("versions", "version bigint, folded array<array<bigint>>")
+    def _published(self) -> dict:
+        """The last complete compaction: its version, live versions, folded batches."""
+        marks = self._read_marks(
+            "versions", "version bigint, live array<array<bigint>>, folded array<array<bigint>>"
+        )
         if not marks:
-            return None
+            return {"version": 0, "live": [], "folded": []}
         last = max(marks, key=lambda r: r["version"])
-        folded = [b for low, high in last["folded"] for b in range(low, high + 1)]
-        return {"version": last["version"], "folded": folded}
+        return {"version": last["version"], "live": _numbers(last["live"]), "folded": _numbers(last["folded"])}
 
     def _path(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -177,7 +189,12 @@ def _ranges(numbers: list[int]) -> list[list[int]]:
     return runs
 
 
+def _numbers(runs: list[list[int]]) -> list[int]:
+    return [n for first, last in runs for n in range(first, last + 1)]
+
+
 def _literal(value):
     if isinstance(value, list):
-        return F.array(*[F.array(*[F.lit(x).cast("bigint") for x in run]) for run in value])
+        runs = [F.array(*[F.lit(x).cast("bigint") for x in run]) for run in value]
+        return F.array(*runs).cast("array<array<bigint>>")
     return F.lit(value).cast("bigint")

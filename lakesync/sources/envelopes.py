@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesync import schemas as S
+from lakesync.session import bounded_broadcast
 
 # Where a change stream starts.
 INITIAL = "INITIAL"
@@ -22,6 +23,28 @@ def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def land(envelopes: DataFrame, path: str) -> None:
+    """Store envelope text by source database and table, so that a reader of some tables
+    opens only their folders."""
+    placed = envelopes.select(
+        F.coalesce(F.get_json_object("value", "$.source.db"), F.lit("")).alias("db"),
+        F.coalesce(F.get_json_object("value", "$.source.table"), F.lit("")).alias("table"),
+        "value",
+    )
+    placed.hint("rebalance", "db", "table").write.mode("append").partitionBy("db", "table").parquet(path)
+
+
+def read_landed(spark: SparkSession, path: str, tables: DataFrame | None = None) -> DataFrame:
+    """Envelopes of a landed layout; with `tables` (db, table) the partition filter is
+    found at run time and other tables are neither read nor parsed."""
+    landed = spark.read.schema("value string, db string, table string").parquet(path)
+    if tables is not None:
+        # The inequality also tells the optimizer that the list is worth pruning with.
+        named = tables.select("db", "table").where("table <> ''").distinct()
+        landed = landed.join(bounded_broadcast(named), ["db", "table"], "left_semi")
+    return landed.select("value")
+
+
 def stream_envelopes(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Streaming form over a landing folder."""
     return spark.readStream.format("text").options(**options).load(path)

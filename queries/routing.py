@@ -12,7 +12,7 @@ from lakesync.operators.typed import typed_rows
 from lakesync.plans import backfill as B, sync
 from lakesync.session import bounded_broadcast, run_dir
 from lakesync.sinks.store import StateStore
-from lakesync.sources import catalog, snapshot
+from lakesync.sources import catalog, envelopes, snapshot
 from queries import feed as E
 
 
@@ -221,7 +221,18 @@ def reconcile_nations(spark, sf_dir):
     )
 
 
+def landed_tables(spark, sf_dir):
+    """Feed landed by source table; only the tables of the list rule are read."""
+    path = run_dir(spark, "landed")
+    envelopes.land(E.feed(spark, sf_dir), path)
+    routes = E.shop_routes(spark, sf_dir, E.MIXED_RULES).where("src_db = 'shop_00_db'")
+    wanted = routes.select(F.col("src_db").alias("db"), F.col("src_table").alias("table"))
+    rows = decode.decode(envelopes.read_landed(spark, path, wanted))
+    return rows.select("db", "table", "pos", F.col("op").cast("int").alias("op"))
+
+
 QUERIES = {
+    "landed_tables": landed_tables,
     "routes_resolved": routes_resolved,
     "databases_resolved": databases_resolved,
     "routed_counts": routed_counts,
@@ -262,6 +273,8 @@ TARGET_SQL = (
 )
 
 ORACLE = {
+    "landed_tables": f"""WITH {E.E_SQL} SELECT db, tbl AS table, event_id AS pos, op FROM e
+WHERE user_id % 4 = 0 AND user_id % 10 IN (0, 4)""",
     "routes_resolved": f"""WITH {MIXED_SQL}
 SELECT db AS src_db, tbl AS src_table, dst_db, dst_table, sharding,
   CAST(CASE WHEN low THEN 10 ELSE 1 END AS BIGINT) AS shard_count,

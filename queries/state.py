@@ -160,13 +160,13 @@ def dwd_increment(spark, sf_dir):
 
 
 def compacted_current(spark, sf_dir):
-    """Seven stored batches, compaction after the fifth, expiry, then the state."""
+    """Seven stored batches, compactions of both kinds, expiry, a replay, then the state."""
     store, routes = StateStore(spark, run_dir(spark, "compacted")), E.keyed_routes(spark, sf_dir)
     routed = sync.targets(sync.routed_changes(E.feed(spark, sf_dir), routes), fold.LAKE)
     for n in range(7):
         store.write_batch(n, sync.states(routed.where(F.col("pos") * 37 % 7 == n), 1_700_000_000_000))
-        if n == 4:
-            store.compact()
+        if n in (1, 3, 5):
+            store.compact(full=n == 3)
             store.expire()
     store.write_batch(6, sync.states(routed.where(F.col("pos") * 37 % 7 == 6), 1_700_000_000_000))
     rows = store.current("shop_db", "t_event", E.EVENT_COLUMNS, fold.LAKE, lineage=True, sync_time=True)

@@ -46,14 +46,16 @@ def test_compaction_expiry_and_late_batches(spark, tmp_path):
     random.Random(3).shuffle(order)
     for step, b in enumerate(order):
         store.write_batch(b, states(spark, lines[b * 50:(b + 1) * 50]))
-        if step in (1, 3):
-            store.compact()
+        if step in (1, 3, 4):
+            store.compact(full=step == 3)
             store.expire()
     # The same batch again, after it was folded into the base.
     store.write_batch(50, states(spark, lines[:50]))
     got = rows(store.current("d", "t", COLUMNS, fold.LAKE), "id", "v")
     assert got == sorted(replay(plain, "lake").items(), key=repr)
-    assert len(store.batches()) == 3
+    assert len(store.batches()) == 2 and store._published()["live"] == [2, 3]
+    with pytest.raises(ValueError):
+        store.compact(full=False, drop_deleted_before=(1, 1))
 
 
 def test_uncommitted_batch_is_not_read(spark, tmp_path):
