@@ -180,15 +180,19 @@ def evolve_from_log(columns: Sequence[ColumnSpec], log: DataFrame, dst_db: str,
     return evolve(columns, ordered.toLocalIterator())
 
 
-def evolved_rows(changes: DataFrame, evolution: Evolution, *, carry: Sequence[str | Column] = ()) -> DataFrame:
+def evolved_rows(
+    changes: DataFrame, evolution: Evolution, *, carry: Sequence[str | Column] = (), position: Column | None = None
+) -> DataFrame:
     """Typed rows of the evolved target from VARIANT rows of any schema version.
 
-    Each change reads a column under the name it had at the position of the change.
+    Each row reads a column under the name it had at the log `position` (file number,
+    position) of the row, by default taken from the change columns.
     """
-    position = F.struct(
-        F.coalesce(S.file_number("file"), F.lit(-1)).alias("file_no"),
-        F.coalesce("pos", F.lit(-1)).cast("bigint").alias("pos"),
-    )
+    if position is None:
+        position = F.struct(
+            F.coalesce(S.file_number("file"), F.lit(-1)).alias("file_no"),
+            F.coalesce("pos", F.lit(-1)).cast("bigint").alias("pos"),
+        )
     out = [c if isinstance(c, Column) else F.col(c) for c in carry]
     for spec in evolution.columns:
         value = None

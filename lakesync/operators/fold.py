@@ -114,9 +114,24 @@ def current(states: DataFrame, keys: Sequence[str], profile: str) -> DataFrame:
 def apply(target: DataFrame, states: DataFrame, keys: Sequence[str], profile: str) -> DataFrame:
     """Target table after the net changes, one row per key in both inputs.
 
-    The target is joined once and never aggregated: with a small batch the optimizer
-    broadcasts the net changes by their measured size and the target does not move;
-    with a large one both sides shuffle once on the key.
+    One full join: target and net changes shuffle once on the key (a bucketed target
+    not at all) and the net changes are computed once.
+    """
+    values = [c for c in target.columns if c not in keys]
+    old = target.select(*keys, F.struct(*values).alias("_old"))
+    net = states.select(*keys, action(profile).alias("_action"), _like(values).alias("_new"))
+    untouched = F.col("_action").isNull()
+    keeps = untouched | (F.col("_action") == UPSERT) | ((F.col("_action") == UPDATE) & F.col("_old").isNotNull())
+    row = F.when(untouched, F.col("_old")).otherwise(F.col("_new"))
+    joined = old.join(net, list(keys), "full").where(keeps)
+    return joined.select(*keys, row.alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in values])
+
+
+def apply_stored(target: DataFrame, states: DataFrame, keys: Sequence[str], profile: str) -> DataFrame:
+    """The same for states read from storage.
+
+    The size of stored states is known when the query is planned, so a small batch is
+    broadcast and the target does not move at all. The states are read twice.
     """
     values = [c for c in target.columns if c not in keys]
     net = states.select(*keys, action(profile).alias("_action"), "image")
@@ -134,6 +149,11 @@ def net_changes(states: DataFrame, keys: Sequence[str], profile: str) -> DataFra
     return states.select(*keys, action(profile).alias("action"), "image.*")
 
 
+def _like(values: Sequence[str]) -> Column:
+    """The image with its fields in the order of the target."""
+    return F.struct(*[F.col("image")[c].alias(c) for c in values])
+
+
 def value_columns(changes: DataFrame, keys: Sequence[str]) -> list[str]:
     skip = {*keys, S.CHANGE_OP, S.CHANGE_ORD, S.REASON}
     return [c for c in changes.columns if c not in skip]

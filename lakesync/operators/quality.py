@@ -40,7 +40,11 @@ def delete_audit(changes: DataFrame, application: str) -> DataFrame:
 
 
 def delete_counts(changes: DataFrame) -> DataFrame:
-    return changes.where(F.col("op") == S.DELETE).groupBy("db", "table").agg(F.count(F.lit(1)).alias("deletes"))
+    """Physical deletes and other changes per source table."""
+    deleted = F.col("op") == S.DELETE
+    return changes.groupBy("db", "table").agg(
+        F.count_if(~deleted).alias("kept"), F.count_if(deleted).alias("deletes")
+    )
 
 
 def message(template: str, *columns: Column | str) -> Column:
@@ -49,11 +53,16 @@ def message(template: str, *columns: Column | str) -> Column:
 
 
 def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows on one side only, with duplicates, and the side they are on."""
-    same = target.select(*source.columns)
-    missing = source.exceptAll(same).withColumn("side", F.lit("source_only"))
-    extra = same.exceptAll(source).withColumn("side", F.lit("target_only"))
-    return missing.unionByName(extra)
+    """Rows that occur more often on one side, the side, and how many more `copies`.
+
+    One aggregation over both sides: rows that occur millions of times collapse before
+    the shuffle and come back as a number.
+    """
+    columns = source.columns
+    both = source.withColumn("_sign", F.lit(1)).unionByName(target.select(*columns).withColumn("_sign", F.lit(-1)))
+    surplus = both.groupBy(*columns).agg(F.sum("_sign").alias("_surplus")).where("_surplus <> 0")
+    side = F.when(F.col("_surplus") > 0, "source_only").otherwise("target_only")
+    return surplus.select(*columns, side.alias("side"), F.abs("_surplus").alias("copies"))
 
 
 def table_digest(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:

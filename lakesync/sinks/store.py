@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from lakesync import schemas as S
 from lakesync.functions.types import ColumnSpec
 from lakesync.operators import fold
+from lakesync.operators.ddl import Evolution, evolved_rows
 from lakesync.operators.typed import typed_rows
 
 KEYS = ("dst_db", "dst_table", "key")
@@ -127,6 +128,12 @@ class StateStore:
         stamp = F.col("f_ts") if sync_time else None
         return typed_rows(rows, columns, lineage=lineage, f_ts=stamp, **typed_options).drop("_reason")
 
+    def current_evolved(self, dst_db: str, dst_table: str, evolution: Evolution, profile: str) -> DataFrame:
+        """Current rows of a target whose schema changed, old rows in the new layout."""
+        live = self.states(dst_db, dst_table).where(fold.action(profile) == fold.UPSERT)
+        position = F.struct("image_ord.file_no", "image_ord.pos")
+        return evolved_rows(live.select("image.row", "image_ord"), evolution, position=position)
+
     # -- files --
 
     def _write(self, states: DataFrame, path: str) -> None:

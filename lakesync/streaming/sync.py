@@ -11,11 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakesync import schemas as S
 from lakesync.operators import ddl, fold, quality
+from lakesync.operators.routes import check_routes
 from lakesync.operators.typed import sync_time
 from lakesync.plans import sync
 from lakesync.session import bounded_broadcast
 from lakesync.sinks import queue
 from lakesync.sinks.store import StateStore
+from lakesync.sources import catalog
 
 # Fixed value: default commit cadence.
 COMMIT_INTERVAL = "5 seconds"
@@ -41,6 +43,10 @@ class SyncJob:
     write_messages: Callable[[DataFrame, str], None] = queue.write_files
 
     def __post_init__(self):
+        check_routes(self.routes)
+        keyless = catalog.keyless(self.routes, lake=self.profile == fold.LAKE).limit(10).collect()
+        if keyless:
+            raise ValueError("tables without a key: " + ", ".join(f"{r['src_db']}.{r['src_table']}" for r in keyless))
         self.routes = bounded_broadcast(self.routes)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:

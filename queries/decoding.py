@@ -249,12 +249,14 @@ def delete_audit(spark, sf_dir):
 
 
 def drop_deletes(spark, sf_dir):
-    """Feed without physical deletes, and the number dropped per table."""
-    d = decode.decode(E.feed(spark, sf_dir))
-    kept = quality.without_deletes(d).groupBy("db", "table").agg(F.count(F.lit(1)).alias("kept"))
-    return kept.join(quality.delete_counts(d), ["db", "table"], "left").select(
-        "db", "table", "kept", F.coalesce("deletes", F.lit(0)).alias("deletes")
-    )
+    """Feed without physical deletes."""
+    kept = quality.without_deletes(decode.decode(E.feed(spark, sf_dir)))
+    return kept.select("db", "table", "pos", F.col("op").cast("int").alias("op"))
+
+
+def delete_counts(spark, sf_dir):
+    """Physical deletes and other changes per source table."""
+    return quality.delete_counts(decode.decode(E.feed(spark, sf_dir)))
 
 
 def _started(spark, sf_dir, **start):
@@ -358,6 +360,7 @@ QUERIES = {
     "queue_messages": queue_messages,
     "delete_audit": delete_audit,
     "drop_deletes": drop_deletes,
+    "delete_counts": delete_counts,
     "start_from_ts": start_from_ts,
     "start_from_log": start_from_log,
     "start_from_pos": start_from_pos,
@@ -423,9 +426,10 @@ SELECT 'flink.test.shop_db.t_event' AS topic, '["' || id || '"]' AS key, CAST(op
     "delete_audit": f"""WITH {E.E_SQL}
 SELECT 'ods_biz' AS application, db, tbl AS table, id, 'deleted in ods_biz: ' || db || '.' || tbl AS message
 FROM e WHERE op = 3""",
-    "drop_deletes": f"""WITH {E.E_SQL}
+    "drop_deletes": f"WITH {E.E_SQL} SELECT db, tbl AS table, event_id AS pos, op FROM e WHERE op <> 3",
+    "delete_counts": f"""WITH {E.E_SQL}
 SELECT db, tbl AS table, count(*) FILTER (WHERE op <> 3) AS kept, count(*) FILTER (WHERE op = 3) AS deletes
-FROM e GROUP BY ALL HAVING count(*) FILTER (WHERE op <> 3) > 0""",
+FROM e GROUP BY ALL""",
     "start_from_ts": f"WITH {E.E_SQL} SELECT event_id AS pos, op, ts_ms FROM e WHERE ts_ms >= 1704500000000",
     "start_from_log": f"WITH {E.E_SQL} SELECT event_id AS pos, op, ts_ms FROM e WHERE NOT snap",
     "start_from_pos": f"WITH {E.E_SQL} SELECT event_id AS pos, op, ts_ms FROM e WHERE NOT snap AND event_id > 1500",

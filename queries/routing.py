@@ -326,8 +326,8 @@ SELECT src_db, src_table, coalesce(CASE WHEN npk > 0 THEN pks ELSE uks END, '')
     "reconcile": """WITH s AS (SELECT c_custkey, c_name, c_acctbal FROM customer),
 t AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 17 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
       FROM s WHERE c_custkey % 13 <> 0 UNION ALL SELECT * FROM s WHERE c_custkey % 19 = 0)
-SELECT *, 'source_only' AS side FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM t)
-UNION ALL SELECT *, 'target_only' FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM s)""",
+SELECT *, 'source_only' AS side, count(*) AS copies FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM t) GROUP BY ALL
+UNION ALL SELECT *, 'target_only', count(*) FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM s) GROUP BY ALL""",
     "reconcile_nations": """SELECT c_nationkey, count(*) AS source_rows,
   count(*) FILTER (WHERE c_nationkey % 4 <> 0 OR c_custkey % 9 <> 0) AS target_rows
 FROM customer GROUP BY ALL HAVING source_rows <> target_rows""",

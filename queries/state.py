@@ -77,16 +77,18 @@ def net_change_counts(spark, sf_dir):
     """Net changes of the log by action and profile, as a relational target would get them."""
     _, log = _log_and_target(spark, sf_dir)
     states = fold.fold(log, ["id"])
-    out = None
-    for profile in (fold.LAKE, fold.MIGRATION):
-        counts = (
-            fold.net_changes(states, ["id"], profile)
-            .groupBy("action")
-            .agg(F.count(F.lit(1)).alias("keys"))
-            .select(F.lit(profile).alias("profile"), "action", "keys")
-        )
-        out = counts if out is None else out.unionByName(counts)
-    return out
+    verdicts = F.array(
+        *[F.struct(F.lit(p).alias("profile"), fold.action(p).alias("action")) for p in (fold.LAKE, fold.MIGRATION)]
+    )
+    return states.select(F.inline(verdicts)).groupBy("profile", "action").agg(F.count(F.lit(1)).alias("keys"))
+
+
+def stored_apply(spark, sf_dir):
+    """Net changes stored first, then applied to the target where it lies."""
+    target, log = _log_and_target(spark, sf_dir)
+    path = run_dir(spark, "net")
+    fold.fold(log, ["id"]).write.parquet(path)
+    return E.event_result(fold.apply_stored(target, spark.read.parquet(path), ["id"], fold.MIGRATION))
 
 
 def out_of_order_batches(spark, sf_dir):
@@ -188,6 +190,7 @@ QUERIES = {
     "migration_merged": migration_merged,
     "snapshot_then_log": snapshot_then_log,
     "net_change_counts": net_change_counts,
+    "stored_apply": stored_apply,
     "out_of_order_batches": out_of_order_batches,
     "key_violations": key_violations,
     "key_delete": key_delete,
@@ -207,6 +210,7 @@ ORACLE = {
     "lake_current": LAKE_WITH_LINEAGE,
     "migration_current": f"WITH {E.migration_sql()} SELECT {RESULT} FROM cur",
     "lake_apply": f"WITH {E.lake_sql()} SELECT {RESULT} FROM cur",
+    "stored_apply": f"WITH {E.migration_sql()} SELECT {RESULT} FROM cur",
     "migration_merged": f"WITH {E.migration_sql()} SELECT {RESULT} FROM cur",
     "snapshot_then_log": f"WITH {E.lake_sql('snap OR event_id > 2500')} SELECT {RESULT} FROM cur",
     "net_change_counts": f"""WITH {E.E_SQL},

@@ -77,7 +77,7 @@ def test_small_stored_batch_does_not_move_the_target(spark, tmp_path):
     old.write.parquet(str(tmp_path / "t"))
     fold.fold(typed(spark, [doc("u", {"id": 3, "v": "x"})]), ["id"]).write.parquet(str(tmp_path / "n"))
     net = spark.read.parquet(str(tmp_path / "n"))
-    out = fold.apply(spark.read.parquet(str(tmp_path / "t")), net, ["id"], fold.MIGRATION)
+    out = fold.apply_stored(spark.read.parquet(str(tmp_path / "t")), net, ["id"], fold.MIGRATION)
     assert shuffles(out) == 0 and out.where("id = 3").first()["v"] == "x" and out.count() == 1000
 
 

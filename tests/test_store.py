@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakesync.functions.types import ColumnSpec
-from lakesync.operators import fold
+from lakesync.operators import ddl, fold
 from lakesync.plans import sync
 from lakesync.sinks import queue, tables
 from lakesync.sinks.store import StateStore, _ranges
@@ -225,6 +225,24 @@ def test_split_by_target(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "o/dst_db=d/dst_table=b"))) == [(2,)]
 
 
+def test_job_checks_its_routes(spark, tmp_path):
+    with pytest.raises(ValueError, match="without a key: shop_01_db.t_event_3"):
+        SyncJob(routes(spark, pk=[], keys=["u"]), str(tmp_path))
+    SyncJob(routes(spark, pk=[], keys=["u"]), str(tmp_path), fold.MIGRATION)
+    with pytest.raises(ValueError, match="duplicate routes"):
+        SyncJob(routes(spark).unionByName(routes(spark)), str(tmp_path))
+
+
+def test_current_rows_across_a_rename(spark, tmp_path):
+    lines = [doc("c", {"id": 1, "v": "before"}, pos=1), doc("c", {"id": 2, "w": "after"}, pos=30)]
+    job = SyncJob(routes(spark), str(tmp_path / "s"))
+    job.process(docs(spark, [*lines, ddl_doc("ALTER TABLE t CHANGE v w VARCHAR(9) FIRST", pos=20)]), 0)
+    log = spark.read.parquet(f"{job.root}/ddl_log")
+    evolution = ddl.evolve_from_log(COLUMNS, log, "d", "t")
+    got = StateStore(spark, job.root).current_evolved("d", "t", evolution, fold.LAKE)
+    assert got.columns == ["w", "id"] and rows(got) == [("after", 2), ("before", 1)]
+
+
 def test_read_envelopes(spark, tmp_path):
     docs(spark, [doc("c", {"id": 1})]).write.text(str(tmp_path / "x"))
     assert envelopes.read_envelopes(spark, str(tmp_path / "x")).columns == ["value"]
