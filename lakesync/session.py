@@ -49,6 +49,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Split an input that has fewer partitions than the session has cores.
+
+    For costly per-row work over a few small files; inputs with enough partitions, so
+    every large one, pass unchanged and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if the frame is proven small, else leave the join to the optimizer.
 

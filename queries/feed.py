@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakesync.functions import types as T
 from lakesync.functions.types import ColumnSpec
 from lakesync.operators.routes import ALL, EXCLUDE, INCLUDE, DatabaseRule, ShardRule, resolve_routes
-from lakesync.session import checkpointed, configure
+from lakesync.session import checkpointed, configure, spread
 from lakesync.sources import catalog
 
 # Columns of the shop tables.
@@ -121,7 +121,7 @@ def event_envelopes(events: DataFrame) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_envelopes(table(spark, sf_dir, "events"))
+    return event_envelopes(spread(table(spark, sf_dir, "events")))
 
 
 def row_envelopes(rows: DataFrame, db: str, tbl: str, image: Column, pos: Column, ts_ms: int = 1) -> DataFrame:
