@@ -10,7 +10,7 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
@@ -18,6 +18,7 @@ from lakesync import schemas as S
 from lakesync.functions import wire
 from lakesync.functions.types import ColumnSpec, ddl_type, spark_type
 from lakesync.operators.quality import BLANK_OFFSET
+from lakesync.operators.typed import BAD_CAST, unfit
 
 ADD = "ADD"
 CHANGE = "CHANGE"
@@ -71,6 +72,11 @@ def dedupe(log: DataFrame) -> DataFrame:
     )
 
 
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    """DDL log of a job over all its batches; an event repeated in a later batch counts once."""
+    return dedupe(spark.read.parquet(f"{root}/ddl_log").select(*S.DDL_LOG_COLUMNS))
+
+
 def dedupe_stream(log: DataFrame, event_time: str, delay: str) -> DataFrame:
     """Streaming form; state older than the delay is dropped."""
     return log.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["instance", "file", "pos"])
@@ -186,7 +192,8 @@ def evolved_rows(
     """Typed rows of the evolved target from VARIANT rows of any schema version.
 
     Each row reads a column under the name it had at the log `position` (file number,
-    position) of the row, by default taken from the change columns.
+    position) of the row, by default taken from the change columns. A value that does
+    not fit sets `_reason`.
     """
     if position is None:
         position = F.struct(
@@ -194,17 +201,20 @@ def evolved_rows(
             F.coalesce("pos", F.lit(-1)).cast("bigint").alias("pos"),
         )
     out = [c if isinstance(c, Column) else F.col(c) for c in carry]
+    bad = F.lit(False)
     for spec in evolution.columns:
-        value = None
+        value, wrong = F.when(F.lit(False), F.lit(None)), F.when(F.lit(False), False)
         for (file_no, pos), name in reversed(evolution.history[spec.name]):
             here = position >= F.struct(
                 F.lit(file_no).cast("bigint").alias("file_no"), F.lit(pos).cast("bigint").alias("pos")
             )
             named = ColumnSpec(name, spec.type_name, wire=spec.wire, scale=spec.scale)
             read = wire.typed_field(F.col("row"), named)
-            value = F.when(here, read) if value is None else value.when(here, read)
+            value = value.when(here, read)
+            wrong = wrong.when(here, unfit(F.col("row"), named, read))
+        bad = bad | F.coalesce(wrong, F.lit(False))
         out.append(value.alias(spec.name))
-    return changes.select(*out)
+    return S.evaluated_once(changes, [*out, F.when(bad, F.lit(BAD_CAST)).alias(S.REASON)])
 
 
 def evolved_table(table: DataFrame, evolution: Evolution) -> DataFrame:

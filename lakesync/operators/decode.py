@@ -36,9 +36,10 @@ def ddl_text(history_record: Column) -> Column:
 
 
 def decode(envelopes: DataFrame, value: str = "value") -> DataFrame:
-    """JSON envelopes to CHANGE_COLUMNS plus `before` and a quarantine `reason`.
+    """JSON envelopes to CHANGE_COLUMNS plus `before`, `document` and `_reason`.
 
-    One parse per document, no shuffle. `before` stays for key-change splitting.
+    One parse per document, no shuffle. `before` stays for key-change splitting;
+    `document` is the text of a malformed envelope, which has nothing else to show.
     """
     doc = F.from_json(F.col(value), S.ENVELOPE, {"columnNameOfCorruptRecord": "_malformed"})
     parsed = envelopes.withColumn("_doc", doc)
@@ -59,6 +60,7 @@ def decode(envelopes: DataFrame, value: str = "value") -> DataFrame:
         ts_ms.alias("ts_ms"),
         ((ts_ms > 0) & (op != S.DDL)).alias("incremental"),
         row_image(F.lit(S.DELETE), F.col("_doc.before"), F.col("_doc.before")).alias("before"),
+        F.col("_doc._malformed").alias("document"),
         F.when(F.col("_doc._malformed").isNotNull() | F.col("_doc").isNull(), F.lit(MALFORMED))
         .when((op != S.DDL) & image.isNull(), F.lit(NO_IMAGE))
         .alias("_reason"),

@@ -50,7 +50,7 @@ def typed_rows(
     # its value and its check together.
     typed = changes.withColumns(numbers).withColumns(fields) if numbers else changes.withColumns(fields)
     values = {c.name: F.col(f"_value_{i}") for i, c in enumerate(columns)}
-    bad = _any([_unfit(row, c, values[c.name]) for c in columns])
+    bad = _any([unfit(row, c, values[c.name]) for c in columns])
     absent = _any([values[c.name].isNull() for c in columns if c.is_pk or c.required])
 
     out = [c if isinstance(c, Column) else F.col(c) for c in carry]
@@ -67,12 +67,21 @@ def typed_rows(
     return S.evaluated_once(typed, [*out, reason.alias(S.REASON)])
 
 
+def rejected(changes: DataFrame, columns: Sequence[ColumnSpec], **options) -> DataFrame:
+    """Changes whose row does not fit its target, whole, with the reason in front."""
+    kept = [c for c in S.QUARANTINE_COLUMNS if c in changes.columns]
+    typed = typed_rows(changes, columns, carry=[F.struct(*kept).alias("_change")], **options)
+    bad = typed.where(F.col(S.REASON).isNotNull())
+    return bad.select(F.col(S.REASON).alias("reason"), "_change.*")
+
+
 def sync_time() -> Column:
     """Wall-clock milliseconds, one value per query or micro-batch."""
     return F.unix_millis(F.current_timestamp())
 
 
-def _unfit(row: Column, spec: ColumnSpec, value: Column) -> Column:
+def unfit(row: Column, spec: ColumnSpec, value: Column) -> Column:
+    """Whether the row holds something for the column that did not become a value."""
     kept = value.isNotNull() | ~wire.present(row, spec.name)
     if spec.wire_type or spec.spark_type() == "timestamp_ntz":
         # A zero date is the source's way to write "no value".

@@ -41,6 +41,8 @@ CHANGE_COLUMNS = (
     "file", "pos", "row_no", "ts_ms", "incremental",
 )
 
+QUARANTINE_COLUMNS = ("reason", *CHANGE_COLUMNS, "document")
+
 ROUTE = (
     "instance STRING, src_db STRING, src_table STRING, dst_db STRING, dst_table STRING, "
     "sharding BOOLEAN, shard_count INT, shard_field STRING, batch_size INT, nodata BOOLEAN"

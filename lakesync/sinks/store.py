@@ -23,7 +23,8 @@ from lakesync import schemas as S
 from lakesync.functions.types import ColumnSpec
 from lakesync.operators import fold
 from lakesync.operators.ddl import Evolution, evolved_rows
-from lakesync.operators.typed import typed_rows
+from lakesync.operators.quality import accepted
+from lakesync.operators.typed import rejected, typed_rows
 
 KEYS = ("dst_db", "dst_table", "key")
 _ORD = "struct<incremental: boolean, file_no: bigint, pos: bigint, row_no: int>"
@@ -122,17 +123,27 @@ class StateStore:
         sync_time: bool = False,
         **typed_options,
     ) -> DataFrame:
-        """Typed current rows of one target."""
-        live = self.states(dst_db, dst_table).where(fold.action(profile) == fold.UPSERT)
-        rows = live.select("image.*")
+        """Typed current rows of one target; `current_rejected` has the rows that do not fit."""
         stamp = F.col("f_ts") if sync_time else None
-        return typed_rows(rows, columns, lineage=lineage, f_ts=stamp, **typed_options).drop("_reason")
+        rows = self.current_images(dst_db, dst_table, profile).select("image.*")
+        return accepted(typed_rows(rows, columns, lineage=lineage, f_ts=stamp, **typed_options))
+
+    def current_rejected(
+        self, dst_db: str, dst_table: str, columns: Sequence[ColumnSpec], profile: str, **typed_options
+    ) -> DataFrame:
+        """Current rows of a target with a value its type cannot hold, whole, with the reason."""
+        rows = self.current_images(dst_db, dst_table, profile).select("image.*")
+        return rejected(rows, columns, **typed_options)
+
+    def current_images(self, dst_db: str, dst_table: str, profile: str) -> DataFrame:
+        """State rows of the rows that exist."""
+        return self.states(dst_db, dst_table).where(fold.action(profile) == fold.UPSERT)
 
     def current_evolved(self, dst_db: str, dst_table: str, evolution: Evolution, profile: str) -> DataFrame:
         """Current rows of a target whose schema changed, old rows in the new layout."""
-        live = self.states(dst_db, dst_table).where(fold.action(profile) == fold.UPSERT)
+        live = self.current_images(dst_db, dst_table, profile).select("image.row", "image_ord")
         position = F.struct("image_ord.file_no", "image_ord.pos")
-        return evolved_rows(live.select("image.row", "image_ord"), evolution, position=position)
+        return accepted(evolved_rows(live, evolution, position=position))
 
     # -- files --
 

@@ -69,5 +69,6 @@ def snapshot(
         F.lit(0).cast("bigint").alias("ts_ms"),
         F.lit(False).alias("incremental"),
         none.cast("variant").alias("before"),
+        none.cast("string").alias("document"),
         none.cast("string").alias("_reason"),
     )

@@ -56,7 +56,7 @@ class SyncJob:
         try:
             log, blank = ddl.capture(targeted)
             log.write.mode("overwrite").parquet(f"{self.root}/ddl_log/batch_id={batch_id}")
-            bad = quality.quarantined(targeted.unionByName(blank)).select("reason", *S.CHANGE_COLUMNS)
+            bad = quality.quarantined(targeted.unionByName(blank)).select(*S.QUARANTINE_COLUMNS)
             bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/batch_id={batch_id}")
             rows = targeted.where(F.col(S.REASON).isNull())
             if self.send_messages:

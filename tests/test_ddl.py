@@ -111,6 +111,8 @@ def test_rows_around_a_rename(spark):
     e = evolved(spark, "SELECT 1", "ALTER TABLE t CHANGE a x BIGINT")
     lines = [doc("c", {"id": 1, "a": 5}, pos=9), doc("c", {"id": 2, "x": 6, "a": 0}, pos=11), doc("r", {"id": 3, "a": 4}, file="", pos=0, ts_ms=0)]
     assert rows(ddl.evolved_rows(decode.decode(docs(spark, lines)), e), "id", "x") == [(1, 5), (2, 6), (3, 4)]
+    wrong = decode.decode(docs(spark, [doc("c", {"id": 1, "x": "six"}, pos=11), doc("c", {"id": 2, "x": "six"}, pos=9)]))
+    assert rows(ddl.evolved_rows(wrong, e), "id", "x", "_reason") == [(1, None, "bad_cast"), (2, None, None)]
 
 
 def test_status(spark):

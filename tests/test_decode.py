@@ -8,7 +8,7 @@ from lakesync import schemas as S
 from lakesync.functions import types as T
 from lakesync.functions.types import ColumnSpec
 from lakesync.operators import decode, quality
-from lakesync.operators.typed import typed_rows
+from lakesync.operators.typed import rejected, typed_rows
 from lakesync.plans import sync
 from lakesync.sources import envelopes, snapshot
 from tests.helpers import COLUMNS, ddl_doc, doc, docs, rows
@@ -167,3 +167,10 @@ def test_quarantine_keeps_every_row(spark):
     d = decode.decode(docs(spark, lines))
     assert quality.accepted(d).count() + quality.quarantined(d).count() == 3
     assert quality.quarantined(d).columns[0] == "reason"
+    assert rows(quality.quarantined(d), "reason", "document") == [("malformed", "broken"), ("no_image", None)]
+
+
+def test_rejected_rows_stay_whole(spark):
+    d = decode.decode(docs(spark, [doc("c", {"id": 1, "v": 2}), doc("c", {"id": "x", "v": 3}, pos=9), "broken"]))
+    bad = rejected(d.where("op <> 4"), [ColumnSpec("id", "INT", is_pk=True)])
+    assert rows(bad, "reason", "pos", F.to_json("row")) == [("bad_cast", 9, '{"id":"x","v":3}')]

@@ -150,7 +150,9 @@ def test_outputs_of_a_batch(spark, tmp_path):
     job = SyncJob(routes(spark), str(tmp_path / "s"), send_messages=True, drop_deletes=True, application="app")
     job.process(docs(spark, lines), 0)
     read = spark.read
-    assert rows(read.parquet(f"{job.root}/quarantine"), "reason") == [("blank_offset",), ("malformed",), ("unrouted",)]
+    assert rows(read.parquet(f"{job.root}/quarantine"), "reason", "document") == [
+        ("blank_offset", None), ("malformed", "broken"), ("unrouted", None),
+    ]
     assert rows(read.parquet(f"{job.root}/ddl_log"), "pos", "dst_table") == [(3, "t")]
     assert rows(read.parquet(f"{job.root}/deletes"), "application", "row_json") == [("app", '{"id":2,"v":"b"}')]
     sent = read.json(f"{job.root}/messages")
@@ -237,12 +239,23 @@ def test_current_rows_across_a_rename(spark, tmp_path):
     lines = [doc("c", {"id": 1, "v": "before"}, pos=1), doc("c", {"id": 2, "w": "after"}, pos=30)]
     job = SyncJob(routes(spark), str(tmp_path / "s"))
     job.process(docs(spark, [*lines, ddl_doc("ALTER TABLE t CHANGE v w VARCHAR(9) FIRST", pos=20)]), 0)
-    log = spark.read.parquet(f"{job.root}/ddl_log")
+    job.process(docs(spark, [ddl_doc("ALTER TABLE t CHANGE v w VARCHAR(9) FIRST", pos=20)]), 1)
+    log = ddl.read_log(spark, job.root)
+    assert log.count() == 1
     evolution = ddl.evolve_from_log(COLUMNS, log, "d", "t")
     got = StateStore(spark, job.root).current_evolved("d", "t", evolution, fold.LAKE)
     assert got.columns == ["w", "id"] and rows(got) == [("after", 2), ("before", 1)]
 
 
+def test_rows_that_do_not_fit_are_reported_whole(spark, tmp_path):
+    columns = [ColumnSpec("id", "BIGINT", is_pk=True), ColumnSpec("v", "INT")]
+    store = StateStore(spark, str(tmp_path / "s"))
+    store.write_batch(0, states(spark, [doc("c", {"id": 1, "v": 5}), doc("c", {"id": 2, "v": "five"})]))
+    assert rows(store.current("d", "t", columns, fold.LAKE), "id", "v") == [(1, 5)]
+    bad = store.current_rejected("d", "t", columns, fold.LAKE)
+    assert rows(bad, "reason", "db", F.to_json("row")) == [("bad_cast", "shop_01_db", '{"id":2,"v":"five"}')]
+
+
 def test_read_envelopes(spark, tmp_path):
     docs(spark, [doc("c", {"id": 1})]).write.text(str(tmp_path / "x"))
     assert envelopes.read_envelopes(spark, str(tmp_path / "x")).columns == ["value"]
