@@ -41,8 +41,8 @@ def shard_of_uid(uid: Column, count: Column | int) -> Column:
 
 def shard_of_order(order_id: Column, count: Column | int) -> Column:
     """Remainder of the last three digits; NULL if the id does not end in three digits."""
-    tail = F.regexp_extract(order_id.cast("string"), "([0-9]{3})$", 1).try_cast("int")
-    return (tail % _count(count)).cast("int")
+    tail = F.nullif(F.regexp_extract(order_id.cast("string"), "([0-9]{3})$", 1), F.lit(""))
+    return (tail.cast("int") % _count(count)).cast("int")
 
 
 def _count(count: Column | int) -> Column:

@@ -37,9 +37,7 @@ def typed_rows(
     """
     row = F.col("row")
     clocks = {c.name: f"_number_{i}" for i, c in enumerate(columns) if wire.read_as_number(c)}
-    numbers = {
-        n: F.try_variant_get(row, wire.field_path(name), "bigint") for name, n in clocks.items()
-    }
+    numbers = {n: wire.number_field(row, name) for name, n in clocks.items()}
     fields = {
         f"_value_{i}": wire.typed_field(
             row, c, target_zone, shift, widen_unsigned, F.col(clocks[c.name]) if c.name in clocks else None

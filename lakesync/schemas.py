@@ -66,7 +66,7 @@ CHANGE_ORD = "_change_ord"
 
 def file_number(file: Column | str) -> Column:
     """Numeric suffix of a log file name; as text `bin.999999` would sort after `bin.1000000`."""
-    return F.regexp_extract(file, r"([0-9]+)$", 1).try_cast("bigint")
+    return F.nullif(F.regexp_extract(file, r"([0-9]+)$", 1), F.lit("")).try_cast("bigint")
 
 
 def order_key() -> Column:
