@@ -14,9 +14,14 @@ BROADCAST_ROWS = 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Runtime settings the operators rely on: UTC clock and the TIME type."""
+    """Runtime settings the operators rely on: UTC clock and the TIME type.
+
+    The method limit is the one of the JVM's compiler: rows of wide tables generate
+    methods above it, which would run interpreted; below it Spark splits them instead.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.timeType.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

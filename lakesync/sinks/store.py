@@ -71,33 +71,51 @@ class StateStore:
             at = F.struct(F.col("last_ord.file_no").alias("a"), F.col("last_ord.pos").alias("b"))
             states = states.where(~((F.col("last_op") == S.DELETE) & (at < bound)))
         self._write(states, f"{self.root}/base/version={version}")
-        live = [version] if full else [*published["live"], version]
-        folded = sorted({*published["folded"], *batches})
-        mark = {"version": version, "live": _ranges(live), "folded": _ranges(folded)}
+        mark = {
+            "version": version,
+            "live": _runs([version], [] if full else published["live"]),
+            "folded": _runs(batches, published["folded"]),
+        }
         self._mark(f"{self.root}/versions/version={version}", mark)
         return version
 
     def expire(self) -> list[str]:
         """Delete folded batches and versions that are no longer live; returns the folders.
 
-        Run it once no reader of an older version is left.
+        Run it once no reader of an older version is left. What is deleted stays known
+        as folded, so a batch repeated later is not read again.
         """
         published = self._published()
-        dead = set(range(1, published["version"] + 1)) - set(published["live"])
-        old = [f"changes/batch_id={b}" for b in published["folded"]]
-        old += [f"base/version={v}" for v in sorted(dead)]
-        return [p for p in old if self._delete(f"{self.root}/{p}")]
+        version, live = published["version"], published["live"]
+
+        def folded(n: int) -> bool:
+            return _holds(published["folded"], n)
+
+        dead = {
+            "changes": folded,
+            "commits": folded,
+            "base": lambda n: n <= version and not _holds(live, n),
+            "versions": lambda n: n < version,
+        }
+        removed = []
+        for kind, is_dead in dead.items():
+            for name in self._children(kind):
+                if is_dead(int(name.rsplit("=", 1)[1])):
+                    self._delete(f"{kind}/{name}")
+                    removed.append(f"{kind}/{name}")
+        return removed
 
     # -- reading --
 
     def batches(self) -> list[int]:
         """Committed batches that no version holds."""
+        folded = self._published()["folded"]
         done = {r["batch"] for r in self._read_marks("commits", "batch bigint")}
-        return sorted(done - set(self._published()["folded"]))
+        return sorted(b for b in done if not _holds(folded, b))
 
     def raw_states(self) -> DataFrame:
         """Live versions and batches, several rows per key."""
-        live = self._published()["live"]
+        live = [v for first, last in self._published()["live"] for v in range(first, last + 1)]
         batches = self._batch_states(self.batches())
         if not live:
             return batches
@@ -168,47 +186,49 @@ class StateStore:
         self.spark.range(1, numPartitions=1).select(*columns).write.mode("overwrite").json(path)
 
     def _read_marks(self, kind: str, schema: str) -> list:
-        if not self._exists(f"{self.root}/{kind}"):
+        if not self._children(kind):
             return []
         return self.spark.read.schema(schema).json(f"{self.root}/{kind}/*").collect()
 
     def _published(self) -> dict:
-        """The last complete compaction: its version, live versions, folded batches."""
+        """The last complete compaction: its version, and runs of live versions and folded batches."""
         marks = self._read_marks(
             "versions", "version bigint, live array<array<bigint>>, folded array<array<bigint>>"
         )
         if not marks:
             return {"version": 0, "live": [], "folded": []}
         last = max(marks, key=lambda r: r["version"])
-        return {"version": last["version"], "live": _numbers(last["live"]), "folded": _numbers(last["folded"])}
+        return {k: [list(run) for run in last[k]] if k != "version" else last[k] for k in ("version", "live", "folded")}
 
     def _path(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _exists(self, path: str) -> bool:
-        fs, p = self._path(path)
-        return fs.exists(p)
+    def _children(self, kind: str) -> list[str]:
+        """Names of the numbered folders of a kind."""
+        fs, p = self._path(f"{self.root}/{kind}")
+        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return [n for n in names if "=" in n]
 
-    def _delete(self, path: str) -> bool:
-        fs, p = self._path(path)
-        return fs.exists(p) and fs.delete(p, True)
+    def _delete(self, path: str) -> None:
+        fs, p = self._path(f"{self.root}/{path}")
+        fs.delete(p, True)
 
 
-def _ranges(numbers: list[int]) -> list[list[int]]:
-    """Sorted numbers as [first, last] runs."""
-    runs: list[list[int]] = []
-    for n in numbers:
-        if runs and runs[-1][1] == n - 1:
-            runs[-1][1] = n
-        else:
-            runs.append([n, n])
-    return runs
+def _holds(runs: list[list[int]], n: int) -> bool:
+    return any(first <= n <= last for first, last in runs)
 
 
-def _numbers(runs: list[list[int]]) -> list[int]:
-    return [n for first, last in runs for n in range(first, last + 1)]
+def _runs(numbers: list[int], runs: list[list[int]] = ()) -> list[list[int]]:
+    """Numbers and [first, last] runs as few runs; ids grow by one, so there are few."""
+    out: list[list[int]] = []
+    for first, last in sorted([*([n, n] for n in numbers), *(list(r) for r in runs)]):
+        if out and first <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], last)
+        else:
+            out.append([first, last])
+    return out
 
 
 def _literal(value):

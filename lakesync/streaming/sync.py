@@ -29,7 +29,8 @@ class SyncJob:
 
     Every output of a batch goes to a folder named by the batch id and replaces it, and
     state rows merge by log position, so a repeated batch, or one that arrives late,
-    changes nothing.
+    changes nothing. Root and streaming checkpoint belong together: batch ids count from
+    the start of the checkpoint.
     """
 
     routes: DataFrame

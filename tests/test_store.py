@@ -7,7 +7,7 @@ from lakesync.functions.types import ColumnSpec
 from lakesync.operators import ddl, fold
 from lakesync.plans import sync
 from lakesync.sinks import queue, tables
-from lakesync.sinks.store import StateStore, _ranges
+from lakesync.sinks.store import StateStore, _runs
 from lakesync.sources import envelopes
 from lakesync.streaming.sync import SyncJob
 from tests.helpers import COLUMNS, ddl_doc, doc, docs, replay, rows
@@ -53,7 +53,7 @@ def test_compaction_expiry_and_late_batches(spark, tmp_path):
     store.write_batch(50, states(spark, lines[:50]))
     got = rows(store.current("d", "t", COLUMNS, fold.LAKE), "id", "v")
     assert got == sorted(replay(plain, "lake").items(), key=repr)
-    assert len(store.batches()) == 2 and store._published()["live"] == [2, 3]
+    assert len(store.batches()) == 2 and store._published()["live"] == [[2, 3]]
     with pytest.raises(ValueError):
         store.compact(full=False, drop_deleted_before=(1, 1))
 
@@ -85,8 +85,25 @@ def test_update_before_its_insert_in_an_earlier_batch(spark, tmp_path):
     assert rows(store.current("d", "t", COLUMNS, fold.MIGRATION), "id", "v") == [(1, "late")]
 
 
-def test_ranges():
-    assert _ranges([1, 2, 3, 7, 9, 10]) == [[1, 3], [7, 7], [9, 10]] and _ranges([]) == []
+def test_runs():
+    assert _runs([1, 2, 3, 7, 9, 10]) == [[1, 3], [7, 7], [9, 10]] and _runs([]) == []
+    assert _runs([4, 2], [[0, 1], [6, 8]]) == [[0, 2], [4, 4], [6, 8]] and _runs([5, 3], [[3, 4], [6, 8]]) == [[3, 8]]
+
+
+def test_expired_batches_leave_no_marks(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "s"))
+    part = states(spark, [doc("c", {"id": 1, "v": "a"}, pos=1)])
+    for n in range(2):
+        store.write_batch(n, part)
+        store.compact()
+    removed = store.expire()
+    assert sorted(removed) == [
+        "base/version=1", "changes/batch_id=0", "changes/batch_id=1", "commits/batch_id=0", "commits/batch_id=1", "versions/version=1",
+    ]
+    assert store.batches() == [] and store.expire() == []
+    # A folded batch that comes again is known.
+    store.write_batch(0, states(spark, [doc("d", {"id": 1, "v": "a"}, pos=9)]))
+    assert store.batches() == [] and rows(store.current("d", "t", COLUMNS, fold.LAKE), "id") == [(1,)]
 
 
 def test_same_key_in_two_shards(spark, tmp_path):
