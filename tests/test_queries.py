@@ -15,8 +15,8 @@ duckdb = pytest.importorskip("duckdb")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = {name: query for family in contract.CORE for name, query in family.QUERIES.items()}
+ORACLE = {name: sql for family in contract.CORE for name, sql in family.ORACLE.items()}
 
 
 def normal(names, data):
