@@ -92,11 +92,12 @@ LOWER[65:91] += 32
 
 
 def words(
-    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = PLAIN_WORDS
+    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = PLAIN_WORDS, longest: int | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of the rows of one slice, A-Z lowered: 64-bit hash, row, first and end byte.
 
-    Byte positions count in the data as it is after skipped bytes have gone.
+    Byte positions count in the data as it is after skipped bytes have gone. Words of more
+    than `longest` bytes come as several.
     """
     kind = kinds[data]
     if (kind == 2).any():
@@ -117,6 +118,11 @@ def words(
     ends = offsets[1:][offsets[1:] > 0] - 1
     last[ends] = inside[ends]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    if longest and len(start) and (end - start).max() > longest:
+        parts = -(-(end - start) // longest)
+        begin = np.repeat(np.cumsum(parts) - parts, parts)
+        start, end = np.repeat(start, parts) + (np.arange(len(begin)) - begin) * longest, np.repeat(end, parts)
+        end = np.minimum(end, start + longest)
     summed = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE_VALUES[LOWER[data]] * powers(BASE, n), out=summed[1:])
     hashes = mixed((summed[end] - summed[start]) * powers(pow(BASE, -1, 1 << 64), n)[start])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesync.llm import mixing, quality_rules
+from lakesync.llm import language, mixing, quality_rules, secrets
 from lakesync.llm.common import table
 
 
@@ -16,5 +16,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_quality_rules)}
+def op7_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.document_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.document_languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_quality_rules, op7_find_secrets, op10_identify_language)}
 ORACLE: dict[str, str] = {}
