@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesync.llm import language, mixing, quality_rules, secrets
+from lakesync.llm import decontaminate, jaccard, language, mixing, pseudonyms, quality_rules, secrets
 from lakesync.llm.common import table
 
 
@@ -12,10 +12,23 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_shares(table(spark, sf_dir, "documents"))
 
 
+def op3_pseudonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is a parameter of the operator; a job gives its own."""
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), b"key of this query")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.document_components(table(spark, sf_dir, "documents"))
+
+
 def op7_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.document_secrets(table(spark, sf_dir, "documents"))
 
@@ -24,5 +37,16 @@ def op10_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.document_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_quality_rules, op7_find_secrets, op10_identify_language)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_mix_sources,
+        op3_pseudonymise,
+        op4_decontaminate,
+        op5_quality_rules,
+        op6_jaccard_join,
+        op7_find_secrets,
+        op10_identify_language,
+    )
+}
 ORACLE: dict[str, str] = {}
