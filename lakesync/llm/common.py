@@ -92,12 +92,13 @@ LOWER[65:91] += 32
 
 
 def words(
-    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = PLAIN_WORDS, longest: int | None = None
+    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = PLAIN_WORDS, longest: int | None = None, prefixes: tuple[int, ...] = ()
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of the rows of one slice, A-Z lowered: 64-bit hash, row, first and end byte.
 
     Byte positions count in the data as it is after skipped bytes have gone. Words of more
-    than `longest` bytes come as several.
+    than `longest` bytes come as several. With `prefixes`, hashes has a column for the word and
+    one for its beginning of each of these sizes in bytes, 0 where the word is not longer.
     """
     kind = kinds[data]
     if (kind == 2).any():
@@ -107,7 +108,7 @@ def words(
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none, none
+        return np.zeros((0, 1 + len(prefixes)) if prefixes else 0, np.uint64), none, none, none
     inside = kind == 1
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -125,7 +126,13 @@ def words(
         end = np.minimum(end, start + longest)
     summed = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE_VALUES[LOWER[data]] * powers(BASE, n), out=summed[1:])
-    hashes = mixed((summed[end] - summed[start]) * powers(pow(BASE, -1, 1 << 64), n)[start])
+    back = powers(pow(BASE, -1, 1 << 64), n)[start]
+    hashes = mixed((summed[end] - summed[start]) * back)
+    if prefixes:
+        hashes = np.column_stack([hashes, np.zeros((len(hashes), len(prefixes)), np.uint64)])
+        for k, size in enumerate(prefixes, 1):
+            some = np.flatnonzero(end - start > size)
+            hashes[some, k] = mixed((summed[start[some] + size] - summed[start[some]]) * back[some]) ^ SPREAD[32 + size]
     return hashes, np.searchsorted(offsets, start, "right") - 1, start, end
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesync.llm import decontaminate, jaccard, language, mixing, pseudonyms, quality_rules, secrets
+from lakesync.llm import decontaminate, jaccard, language, mixing, pseudonyms, quality_rules, secrets, toxicity
 from lakesync.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op7_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.document_secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.document_languages(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
         op5_quality_rules,
         op6_jaccard_join,
         op7_find_secrets,
+        op8_score_toxicity,
         op10_identify_language,
     )
 }
