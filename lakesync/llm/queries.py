@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesync.llm import decontaminate, jaccard, language, mixing, pseudonyms, quality_rules, secrets, toxicity
+from lakesync.llm import decontaminate, jaccard, language, mixing, passages, pseudonyms, quality_rules, secrets, toxicity
 from lakesync.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op8_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
 def op10_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.document_languages(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
         op6_jaccard_join,
         op7_find_secrets,
         op8_score_toxicity,
+        op9_repeated_passages,
         op10_identify_language,
     )
 }
