@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BASE, BYTE_VALUES, byte_classes, mixed, powers, text_slices, words
+from lakesync.llm.common import BASE, BYTE_VALUES, byte_classes, mixed, powers, text_slices, words, written
+from lakesync.session import bounded_broadcast
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 # Texts that a language learns from, and the characters of a text that may be one of them.
@@ -164,9 +165,10 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY) -> Model:
     known = known.where(F.length("text") <= SAMPLE_CHARS)
     million = 1_000_000
     rates = known.groupBy("lang").agg(F.count("*").alias("rows"))
-    rates = rates.select(F.col("lang").alias("of"), (F.lit(SAMPLE_ROWS * million) / F.col("rows")).alias("rate"))
+    rates = written(rates.select(F.col("lang").alias("of"), (F.lit(SAMPLE_ROWS * million) / F.col("rows")).alias("rate")), "language-rates")
     sample = (
-        known.join(rates, F.col("lang") == F.col("of"))
+        # A row for each language, counted first; texts are not shuffled for it.
+        known.join(bounded_broadcast(rates), F.col("lang") == F.col("of"))
         .where(F.pmod(F.xxhash64(F.lit(10), "doc_id"), F.lit(million)) < F.col("rate"))
         .select("lang", F.lower("text").alias("text"))
         .toArrow()
