@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakesync.llm.common import SPREAD, components, distinct_sets, mixed, shingles, stream, text_slices, words, written
@@ -273,3 +273,21 @@ def document_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     roots = components(edges.union(bridged.distinct()), "jaccard-components").toDF("rep", "root")
     joined = documents.join(roots, "rep", "left").withColumn("component_id", F.coalesce("root", "rep", "doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """docs with one document of each component: the one with the smallest doc_id, of its rows the one with the least text."""
+    found = written(document_components(docs, size), "jaccard-found").where("doc_id is not null")
+    told = (
+        found.groupBy("doc_id")
+        .agg(F.count("*").alias("copies"), (F.min("component_id") != F.col("doc_id")).alias("goes"))
+        .where("goes or copies > 1")
+    )
+    told = written(told.select(F.col("doc_id").alias("told"), "goes"), "jaccard-told")
+    marked = docs.join(told.hint("shuffle_hash"), F.col("doc_id") == F.col("told"), "left")
+    kept = marked.where("told is null").select(docs.columns)
+    if told.where("not goes").isEmpty():
+        return kept
+    first = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
+    repeated = marked.where("told is not null and not goes").withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return kept.unionByName(repeated.select(docs.columns))

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesync.llm import decontaminate, jaccard, language, mixing, passages, pseudonyms, quality_rules, secrets, toxicity
+from lakesync.llm import decontaminate, html_text, jaccard, language, mixing, passages, pseudonyms, quality_rules, secrets, toxicity
 from lakesync.llm.common import table
 
 
+def op1_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_shares(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_extract_text,
         op2_mix_sources,
         op3_pseudonymise,
         op4_decontaminate,
