@@ -24,7 +24,9 @@ SHARD_SLOTS = 1 << 16
 # Cells of the table that finds the source of a draw.
 CELLS = 4096
 # Documents whose places in a source are summed in one window.
-RUN = 20_000
+RUN = 2_000
+# Slots that a task maps to blocks.
+TASK_SLOTS = 200_000
 # Rounds of the permutation.
 ROUNDS = 10
 WORD = r"[^\x20\x09-\x0D]+"
@@ -73,6 +75,10 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def slot_count(sources: DataFrame) -> int:
+    return sources.agg(F.sum("slots")).first()[0] or 0
+
+
 def drawn(sources: DataFrame, seed: int) -> DataFrame:
     """(shard, source, blocks, first, count): the slots first .. first + count - 1 of a source go to a shard.
 
@@ -82,7 +88,7 @@ def drawn(sources: DataFrame, seed: int) -> DataFrame:
     every source ends at its target.
     """
     spark = sources.sparkSession
-    total = sources.agg(F.sum("slots")).first()[0] or 0
+    total = slot_count(sources)
     width = max(1, -(-total // CELLS))
     cumulated = sources.where("slots > 0").withColumn(
         "below", F.sum("slots").over(Window.orderBy(F.col("source").asc_nulls_last())) - F.col("slots")
@@ -140,8 +146,8 @@ def permuted(index: Column, n: Column, *key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index, turn)
 
 
-def slots(counts: DataFrame, seed: int) -> DataFrame:
-    """(shard, source, slot, block): what every slot of the mix reads."""
+def slots(counts: DataFrame, seed: int, total: int) -> DataFrame:
+    """(shard, source, slot, block): what every slot of the mix reads, of `total` slots."""
     step = F.lit(4096).cast("long")
     last = F.col("first") + F.col("count") - 1
     slot = F.col("slot")
@@ -149,7 +155,8 @@ def slots(counts: DataFrame, seed: int) -> DataFrame:
         # A hot source's long run of slots is cut before it is dealt out.
         counts.withColumn("from", F.explode(F.sequence(F.col("first"), last, step)))
         .select("shard", "source", "blocks", "from", F.least(F.col("from") + step - 1, last).alias("to"))
-        .repartition("source", "from")
+        # By number, as the few rows here grow by the step.
+        .repartition(1 + total // TASK_SLOTS, "source", "from")
         .withColumn("slot", F.explode(F.sequence("from", "to")))
         .withColumn("pass", F.floor(slot / F.col("blocks")))
         .withColumn("block", permuted(slot % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("source"), F.col("pass")))
@@ -192,11 +199,12 @@ def document_shares(docs: DataFrame, seed: int = 7) -> DataFrame:
     """What the mix takes of every document: doc_id, size, source_size, target, taken, source."""
     sizes = written(sized(docs), "mix-sizes")
     sources = written(targets(sizes), "mix-sources")
-    pulls = slots(drawn(sources, seed), seed).groupBy("source", "block").agg(F.count("*").alias("pulls"))
+    pulls = slots(drawn(sources, seed), seed, slot_count(sources)).groupBy("source", "block").agg(F.count("*").alias("pulls"))
     pulls = pulls.select(F.col("source").alias("of"), F.col("block").alias("at"), "pulls")
     taken = (
         blocks_of(placed(sizes, seed))
-        .join(pulls, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")), "left")
+        # Both sides come from few rows by explode(), so their size is not what statistics say: no broadcast.
+        .join(pulls.hint("merge"), F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")), "left")
         .groupBy("doc_id", "source", "size", "start")
         .agg(F.sum(F.col("words") * F.coalesce("pulls", F.lit(0))).alias("taken"))
         .drop("start")
@@ -224,7 +232,7 @@ def shard_blocks(docs: DataFrame, seed: int = 7) -> DataFrame:
     texts = parts.groupBy("of", "at").agg(F.array_sort(F.collect_list(F.struct("start", "w"))).alias("parts"))
     texts = texts.select("of", "at", F.concat_ws(" ", F.flatten("parts.w")).alias("text"))
     return (
-        slots(drawn(sources, seed), seed)
-        .join(texts, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")))
+        slots(drawn(sources, seed), seed, slot_count(sources))
+        .join(texts.hint("merge"), F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")))
         .select("shard", "source", "slot", "block", "text")
     )
