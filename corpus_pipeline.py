@@ -16,11 +16,15 @@ from lakesync.llm.common import table, written
 SURE = 0.5
 
 
+def rows(docs: DataFrame) -> DataFrame:
+    """Each document as one struct, so that no name in it can clash, and its text."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "text")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, and those in none of the learned languages with some certainty, go."""
-    known = language.predicted(docs.withColumn("_whole", F.col("text")), language.learn(docs))
-    kept = known.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE))
-    return kept.withColumnRenamed("_whole", "text").select(docs.columns)
+    known = language.predicted(rows(docs), language.learn(docs))
+    return known.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE)).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +38,11 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def take_out_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the text; documents stay."""
-    cleaned = secrets.scanned(docs).withColumnRenamed("cleaned", "text")
-    return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
+    changed = F.col("cleaned") != F.col("row.text")
+    new = {"text": F.when(changed, F.col("cleaned")).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("cleaned").cast("long")).otherwise(F.col("row.n_chars"))
+    return secrets.scanned(rows(docs)).select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakesync.session import run_dir
 
@@ -30,6 +31,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without(df: DataFrame, name: str) -> StructType:
+    """The schema of df less one column."""
+    return StructType([f for f in df.schema.fields if f.name != name])
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all 64 (the splitmix finaliser); changes x in place."""
     x ^= x >> np.uint64(30)

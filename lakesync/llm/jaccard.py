@@ -284,10 +284,12 @@ def one_of_each(docs: DataFrame, size: int = SIZE) -> DataFrame:
         .where("goes or copies > 1")
     )
     told = written(told.select(F.col("doc_id").alias("told"), "goes"), "jaccard-told")
-    marked = docs.join(told.hint("shuffle_hash"), F.col("doc_id") == F.col("told"), "left")
-    kept = marked.where("told is null").select(docs.columns)
+    # The rows travel as one struct, so that no name of theirs can clash.
+    rows = docs.select(F.col("doc_id").alias("at"), F.struct(*docs.columns).alias("row"), F.col("text").alias("read"))
+    marked = rows.join(told.hint("shuffle_hash"), F.col("at") == F.col("told"), "left")
+    kept = marked.where("told is null").select("row.*")
     if told.where("not goes").isEmpty():
         return kept
-    first = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
-    repeated = marked.where("told is not null and not goes").withColumn("_place", F.row_number().over(first)).where("_place = 1")
-    return kept.unionByName(repeated.select(docs.columns))
+    first = Window.partitionBy("at").orderBy("read", F.xxhash64("row"))
+    repeated = marked.where("told is not null and not goes").withColumn("place", F.row_number().over(first)).where("place = 1")
+    return kept.unionByName(repeated.select("row.*"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BASE, BYTE_VALUES, byte_classes, mixed, powers, text_slices, words, written
+from lakesync.llm.common import BASE, BYTE_VALUES, byte_classes, mixed, powers, text_slices, without, words, written
 from lakesync.session import bounded_broadcast
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -238,7 +238,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c != "text"]
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes if name != "text")
+    schema = without(docs, "text").add("lang_pred", "string").add("score", "double")
 
     def run(batches):
         fitted = shared.value
@@ -260,7 +260,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     inputs = docs.select(*rest, lettered.alias("_lettered"), F.lower("text").alias("_text"))
-    return inputs.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return inputs.mapInArrow(run, schema)
 
 
 def document_languages(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import text_slices
+from lakesync.llm.common import text_slices, without
 
 ROUNDS = 10
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -217,7 +217,6 @@ def spans(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
 def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     """docs with personal data in text replaced, with n_<kind> counts and `spans`, kind:start:end in the old text."""
     rest = [c for c in docs.columns if c != "text"]
-    fields = "".join(f"`{name}` {kind}, " for name, kind in docs.dtypes if name != "text")
     counts = [f"n_{kind}" for kind in KINDS]
 
     def run(batches):
@@ -249,5 +248,8 @@ def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
                 names=[*rest, "text", *columns],
             )
 
-    schema = f"{fields}text string, {', '.join(f'{c} long' for c in counts)}, spans string"
+    schema = without(docs, "text").add("text", "string")
+    for name in counts:
+        schema.add(name, "long")
+    schema.add("spans", "string")
     return docs.select(*rest, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

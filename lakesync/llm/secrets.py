@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import text_slices
+from lakesync.llm.common import text_slices, without
 
 STRETCH = 256
 # Replaces a span in a cleaned text.
@@ -328,7 +328,6 @@ def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, output: Callable |
     """docs, without text, with n_assign, n_access, n_hex, base_sha256, spans and cleaned, the text without secrets."""
     shared = docs.sparkSession.sparkContext.broadcast(scanner(rules))
     rest = [c for c in docs.columns if c != "text"]
-    fields = "".join(f"`{name}` {kind}, " for name, kind in docs.dtypes if name != "text")
     types = {"n_assign": "long", "n_access": "long", "n_hex": "long", "base_sha256": "string", "spans": "string", "cleaned": "string"}
     nothing = hashlib.sha256(b"").hexdigest()
 
@@ -359,7 +358,10 @@ def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, output: Callable |
             )
 
     wanted = docs.select(*rest, F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(run, fields + ", ".join(f"{name} {kind}" for name, kind in types.items()))
+    schema = without(docs, "text")
+    for name, kind in types.items():
+        schema.add(name, kind)
+    return wanted.mapInArrow(run, schema)
 
 
 def document_secrets(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BARE_WORDS, text_slices, words
+from lakesync.llm.common import BARE_WORDS, text_slices, without, words
 
 # Labelled rows that the models are fitted on, and the characters of a text that may be one.
 SAMPLE_ROWS, SAMPLE_CHARS = 5000, 20_000
@@ -276,7 +276,6 @@ def scored(docs: DataFrame, model: Model | None, spans: bool = False) -> DataFra
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c != "text"]
-    fields = "".join(f"`{name}` {kind}, " for name, kind in docs.dtypes if name != "text")
 
     def run(batches):
         model = shared.value
@@ -295,7 +294,9 @@ def scored(docs: DataFrame, model: Model | None, spans: bool = False) -> DataFra
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns], names=[*rest, *names])
 
     names = ["score", "predicted"] + (["spans"] if spans else [])
-    schema = f"{fields}score double, predicted int" + (", spans string" if spans else "")
+    schema = without(docs, "text").add("score", "double").add("predicted", "int")
+    if spans:
+        schema.add("spans", "string")
     return docs.select(*rest, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
