@@ -92,7 +92,7 @@ class Nfa:
         return at
 
     def add(self, kind, value, at: int, backwards: bool) -> int:
-        if kind in (kinds.LITERAL, kinds.IN):
+        if kind in (kinds.LITERAL, kinds.NOT_LITERAL, kinds.IN):
             end = self.state()
             self.moves[at].append((byte_set(kind, value), end))
             return end
@@ -136,6 +136,8 @@ class Nfa:
 def byte_set(kind, value) -> frozenset[int]:
     if kind is kinds.LITERAL:
         return frozenset([value])
+    if kind is kinds.NOT_LITERAL:
+        return frozenset(set(range(256)) - {value})
     out: set[int] = set()
     negated = False
     for part, x in value:
