@@ -23,14 +23,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Spark's setting to remove the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table below the shared folder: computed once, lineage cut, safe from lost executors."""
+    """df as a Parquet table below the shared folder: computed once, lineage cut, safe from lost executors.
+
+    Nothing else reads the shuffles of its query, so they need not wait for the driver's garbage collection.
+    """
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """A stored table dealt out by a key, so that joins and groups by the key in one query share the exchange.
+
+    No column has nulls; said so here, the optimizer adds no filter below one of the uses only.
+    """
+    return df.where(" and ".join(f"{c} is not null" for c in df.columns)).repartition(key)
+
+
 def without(df: DataFrame, name: str) -> StructType:
     """The schema of df less one column."""
     return StructType([f for f in df.schema.fields if f.name != name])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import SPREAD, components, distinct_sets, mixed, shingles, stream, text_slices, words, written
+from lakesync.llm.common import SPREAD, components, dealt, distinct_sets, mixed, shingles, stream, text_slices, words, written
 
 SIZE = 5
 MINS = 8
@@ -190,8 +190,7 @@ def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -
 
 def candidates(rows: DataFrame) -> DataFrame:
     """(doc, n, cluster, part): texts and groups of other clusters that share a prefix token and may link by size."""
-    # One exchange by token serves the matrix and the lookup.
-    rows = rows.repartition("token")
+    rows = dealt(rows, "token")
     first = F.col("packed").bitwiseAND(F.lit(1)) == 1
     n = F.shiftright("packed", 21)
     matrix = (
@@ -224,7 +223,8 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
     stars = written(verified(near, near_sets), "jaccard-stars")
     clusters = components(stars, "jaccard-clusters")
     groups = written(grouped(classes, clusters), "jaccard-groups")
-    maybe = written(candidates(prefixes(docs, groups, common, size)), "jaccard-candidates")
+    rows = written(prefixes(docs, groups, common, size), "jaccard-prefixes")
+    maybe = written(candidates(rows), "jaccard-candidates")
     # Groups that may hold a link, and all their members.
     members = groups.select("cluster", "part", F.col("doc_id").alias("member"), F.col("n").alias("size"), "alone")
     hit = maybe.select("cluster", "part").distinct().join(members, ["cluster", "part"])
