@@ -103,11 +103,24 @@ def main() -> None:
         return go
 
     def compaction():
-        store = StateStore(spark, run_dir(spark, "store"))
+        """Base and seven change batches, a new store for every run, built outside the clock."""
         targeted = sync.lake_targets(sync.routed_changes(docs, keyed))
-        for n in range(7):
-            store.write_batch(n, sync.states(targeted.where(F.col("pos") * 37 % 7 == n), 1))
-        return store.compact
+        batches = run_dir(spark, "batches")
+        batch = (F.col("pos") * 37 % 8).alias("batch")
+        sync.states(targeted.withColumn("dst_table", F.concat("dst_table", F.lit("#"), batch)), 1).write.parquet(batches)
+        stored = spark.read.parquet(batches)
+
+        def store():
+            out = StateStore(spark, run_dir(spark, "store"))
+            for n in range(8):
+                part = stored.where(F.endswith("dst_table", F.lit(f"#{n}")))
+                out.write_batch(n, part.withColumn("dst_table", F.regexp_replace("dst_table", "#[0-9]$", "")))
+                if n == 0:
+                    out.compact()
+            return out
+
+        stores = [store() for _ in range(RUNS + 1)]
+        return lambda: stores.pop().compact()
 
     def resharded():
         uid = orders.withColumn("Fuid", F.col("o_custkey"))

@@ -145,6 +145,8 @@ class Evolution:
     columns: list[ColumnSpec]
     history: dict[str, list[tuple[tuple[int, int], str]]] = field(default_factory=dict)
     changed: bool = False
+    # Positions (file number, position) of the events with an action that changed the schema.
+    used: set[tuple[int, int]] = field(default_factory=set)
 
     @staticmethod
     def start(columns: Sequence[ColumnSpec]) -> "Evolution":
@@ -176,6 +178,7 @@ def evolve(columns: Sequence[ColumnSpec], action_rows: Iterable[Row]) -> Evoluti
         else:
             continue
         state.changed = True
+        state.used.add(at)
     return state
 
 
@@ -231,9 +234,11 @@ def evolved_table(table: DataFrame, evolution: Evolution) -> DataFrame:
 
 
 def evolution_status(log: DataFrame, evolution: Evolution) -> DataFrame:
-    """Sync result per DDL event of the evolved target."""
-    status = "applied" if evolution.changed else "unchanged"
-    return log.withColumn("status", F.lit(status))
+    """Sync result per DDL event of the evolved target: whether one of its actions changed the schema."""
+    used = F.array(*[F.struct(F.lit(f).cast("bigint").alias("n"), F.lit(p).cast("bigint").alias("p")) for f, p in sorted(evolution.used)])
+    at = F.struct(F.coalesce(S.file_number("file"), F.lit(-1)).alias("n"), F.coalesce("pos", F.lit(-1)).cast("bigint").alias("p"))
+    applied = F.array_contains(used, at) if evolution.used else F.lit(False)
+    return log.withColumn("status", F.when(applied, "applied").otherwise("unchanged"))
 
 
 def specs_of(schema: ST.StructType) -> list[ColumnSpec]:

@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync import schemas as S
+from lakesync.session import bounded_broadcast
 
 MALFORMED = "malformed"
 NO_IMAGE = "no_image"
 BAD_OP = "bad_op"
+UNKNOWN_LOG = "unknown_log"
+# File numbers of a log that follows another one begin above all of the earlier log's.
+GENERATION = 10**9
 
 
 def op_code(op: Column) -> Column:
@@ -68,6 +72,29 @@ def decode(envelopes: DataFrame, value: str = "value") -> DataFrame:
     return S.evaluated_once(parsed, columns)
 
 
+def log_base(file: Column) -> Column:
+    """Name of a log without the number of its file."""
+    return F.regexp_replace(file, "[0-9]+$", "")
+
+
+def continued(changes: DataFrame, logs: DataFrame) -> DataFrame:
+    """Let the file numbers of an instance rise over a change of its log.
+
+    After a failover or a log reset, files are numbered from 1 again under another name, and
+    later changes would lose to older ones. `logs` (instance, base, generation) lists the
+    names in their order, from 0; the files of generation g count from g * GENERATION. A
+    change of a log that is not listed is set aside, since nothing tells its place.
+    """
+    known = bounded_broadcast(logs.select("instance", F.col("base").alias("_base"), F.col("generation").alias("_generation")))
+    marked = changes.withColumn("_base", log_base(F.col("file")))
+    joined = marked.join(known, ["instance", "_base"], "left")
+    number = S.file_number("file") + F.col("_generation") * GENERATION
+    named = F.when(F.col("_generation") > 0, F.concat("_base", number.cast("string"))).otherwise(F.col("file"))
+    lost = (F.trim("file") != "") & F.col("_generation").isNull()
+    out = joined.withColumns({"file": named, S.REASON: F.coalesce(S.REASON, F.when(lost, F.lit(UNKNOWN_LOG)))})
+    return out.select(*changes.columns)
+
+
 def bad_op(changes: DataFrame, op: str = "op") -> DataFrame:
     """Mark records whose stored operation code is none of the known ones."""
     known = F.coalesce(F.col(op).isin(*S.OP_CODES), F.lit(False))

@@ -36,25 +36,32 @@ def key_columns(columns: Sequence[ColumnSpec], *, lake: bool, sharded: bool = Fa
     Lake tables need a primary key; migration also takes the union of the columns of
     all unique indexes. Sharded lake targets put the source names in front.
     """
-    keys = [c.name for c in columns if c.is_pk]
-    if not keys and not lake:
-        keys = [c.name for c in columns if c.is_uk]
+    keys = row_key(columns) if not lake else [c.name for c in columns if c.is_pk]
     if not keys:
         raise ValueError("table has no primary key" + ("" if lake else " or unique key"))
     return [S.DB_NAME, S.TABLE_NAME, *keys] if lake and sharded else keys
 
 
-def fold(changes: DataFrame, keys: Sequence[str], image: Column | None = None) -> DataFrame:
+def row_key(columns: Sequence[ColumnSpec]) -> list[str]:
+    """What tells the rows of a source table apart: its primary key, else the columns of its unique indexes."""
+    return [c.name for c in columns if c.is_pk] or [c.name for c in columns if c.is_uk]
+
+
+def fold(
+    changes: DataFrame, keys: Sequence[str], image: Column | None = None, stamp: Column | None = None
+) -> DataFrame:
     """Changes (see schemas.bookkeeping) to one state row per key.
 
     `image` is the row to keep; by default a struct of all columns that are neither
-    keys nor bookkeeping.
+    keys nor bookkeeping. `stamp` is the sync time of a change; the last one of any kind,
+    deletes too, is kept as `last_ts`.
     """
     if image is None:
         image = F.struct(*value_columns(changes, keys))
     op, at = F.col(S.CHANGE_OP), F.col(S.CHANGE_ORD)
     rows = changes.where(op.isin(S.INSERT, S.UPDATE_AFTER, S.DELETE))
-    rows = rows.select(*keys, op.alias("_op"), image.alias("_image"), at.alias("_ord"))
+    stamped = [] if stamp is None else [stamp.cast("bigint").alias("_ts")]
+    rows = rows.select(*keys, op.alias("_op"), image.alias("_image"), at.alias("_ord"), *stamped)
     anchors = F.col("_op").isin(S.INSERT, S.DELETE)
     images = F.col("_op").isin(S.INSERT, S.UPDATE_AFTER)
     return rows.groupBy(*keys).agg(
@@ -64,6 +71,7 @@ def fold(changes: DataFrame, keys: Sequence[str], image: Column | None = None) -
         F.max(F.when(images, F.col("_ord"))).alias("image_ord"),
         F.max_by("_op", "_ord").alias("last_op"),
         F.max("_ord").alias("last_ord"),
+        *([] if stamp is None else [F.max_by("_ts", "_ord").alias("last_ts")]),
     )
 
 
@@ -76,6 +84,7 @@ def merge(states: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.max("image_ord").alias("image_ord"),
         F.max_by("last_op", "last_ord").alias("last_op"),
         F.max("last_ord").alias("last_ord"),
+        *([F.max_by("last_ts", "last_ord").alias("last_ts")] if "last_ts" in states.columns else []),
     )
 
 

@@ -230,11 +230,14 @@ def route_collisions(routes: DataFrame) -> DataFrame:
     return duplicate.unionByName(merged).unionByName(mixed)
 
 
-def check_routes(routes: DataFrame) -> None:
-    """Fail if a source has two routes; the other problems are reported only."""
-    broken = route_collisions(routes).where("problem = 'duplicate_source'").limit(10).collect()
-    if broken:
-        raise ValueError("duplicate routes: " + ", ".join(r["subject"] for r in broken))
+def check_routes(routes: DataFrame, allow: Sequence[str] = ()) -> None:
+    """Fail if routes cannot work; problems named in `allow` are the caller's to answer for."""
+    broken = route_collisions(routes).where(~F.col("problem").isin(*allow)) if allow else route_collisions(routes)
+    counts = {r["problem"]: r["subjects"] for r in broken.groupBy("problem").agg(F.count("*").alias("subjects")).collect()}
+    if counts:
+        some = [f"{r['problem']} {r['subject']}" for r in broken.orderBy("problem", "subject").limit(10).collect()]
+        total = ", ".join(f"{n} {problem}" for problem, n in sorted(counts.items()))
+        raise ValueError(f"routes that cannot work ({total}): " + ", ".join(some))
 
 
 def route(changes: DataFrame, routes: DataFrame, check_size: bool = True) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakesync import schemas as S
 from lakesync.functions import shards, wire
 from lakesync.functions.types import ColumnSpec
+from lakesync.operators.fold import row_key
 
 BAD_CAST = "bad_cast"
 MISSING_KEY = "missing_key"
@@ -49,7 +50,8 @@ def typed_rows(
     typed = changes.withColumns(numbers).withColumns(fields) if numbers else changes.withColumns(fields)
     values = {c.name: F.col(f"_value_{i}") for i, c in enumerate(columns)}
     bad = _any([unfit(row, c, values[c.name]) for c in columns])
-    absent = _any([values[c.name].isNull() for c in columns if c.is_pk or c.required])
+    key = set(row_key(columns))
+    absent = _any([values[c.name].isNull() for c in columns if c.name in key or c.required])
 
     out = [c if isinstance(c, Column) else F.col(c) for c in carry]
     if lineage:

@@ -15,15 +15,21 @@ def increment(ods: DataFrame, since: int | None) -> DataFrame:
     return ods if since is None else ods.where(F.col(S.SYNC_TS) > since)
 
 
-def clean_apply(dwd: DataFrame, ods: DataFrame, keys: Sequence[str], since: int | None = None) -> DataFrame:
+def clean_apply(
+    dwd: DataFrame, ods: DataFrame, keys: Sequence[str], since: int | None = None, gone: DataFrame | None = None
+) -> DataFrame:
     """Downstream table after an ODS increment.
 
-    Changed keys are replaced, softly deleted ones (is_del other than 0) removed. The
+    Changed keys are replaced, softly deleted ones (is_del other than 0) removed, and so are
+    the keys in `gone`, which the source deleted for good (see StateStore.deleted_keys). The
     ODS holds one row per key, so no fold is needed.
     """
     changed = increment(ods, since)
     live = changed.where(F.coalesce(F.col(S.IS_DEL), F.lit(0)) == 0).drop(S.IS_DEL)
-    kept = dwd.join(changed.select(*keys), list(keys), "left_anti")
+    touched = changed.select(*keys)
+    if gone is not None:
+        touched = touched.unionByName(gone.select(*keys))
+    kept = dwd.join(touched, list(keys), "left_anti")
     return kept.unionByName(live.select(*dwd.columns))
 
 

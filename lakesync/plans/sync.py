@@ -29,15 +29,19 @@ def typed_changes(
     *,
     routes: DataFrame | None = None,
     split_keys: bool = True,
+    logs: DataFrame | None = None,
     **typed_options,
 ) -> DataFrame:
     """Typed changes of one target, with bookkeeping columns and `_reason`.
 
-    The row is typed before any shuffle, so only the columns of the target travel.
+    The row is typed before any shuffle, so only the columns of the target travel. `logs`
+    orders the logs of an instance (see decode.continued).
     """
     changes = decode.decode(envelopes)
+    if logs is not None:
+        changes = decode.continued(changes, logs)
     if split_keys:
-        changes = decode.split_key_updates(changes, variant_key([c.name for c in columns if c.is_pk]))
+        changes = decode.split_key_updates(changes, variant_key(fold.row_key(columns)))
     if routes is not None:
         changes = R.route(changes, routes)
     rows = changes.where(F.col("op") != S.DDL)
@@ -77,12 +81,34 @@ def routed_key(names: Column):
     """Key of a VARIANT row whose key columns come with its route."""
 
     def key_of(row: Column) -> Column:
-        fields = F.try_variant_get(row, "$", "map<string,variant>")
-        return F.transform(names, lambda n: F.try_variant_get(fields[n], "$", "string"))
+        return F.transform(names, lambda n: named_field(row, n))
 
     return key_of
 
 
+def named_field(row: Column, name: Column) -> Column:
+    """Text of the field of a VARIANT row whose name is a column."""
+    single = F.concat(F.lit("$['"), name, F.lit("']"))
+    path = F.when(F.contains(name, F.lit("'")), F.concat(F.lit('$["'), name, F.lit('"]'))).otherwise(single)
+    return F.try_variant_get(row, path, "string")
+
+
+def target_shard(row: Column) -> Column:
+    """Number of the shard a row of a re-sharded target belongs to, 0 where there is one; NULL if its field tells none."""
+    text = named_field(row, F.col("shard_field"))
+    return (
+        F.when(F.coalesce("shard_count", F.lit(1)) <= 1, F.lit(0))
+        .when(F.col("shard_field") == shards.UID_FIELD, shards.shard_of_uid(text, F.col("shard_count")))
+        .when(F.col("shard_field") == shards.ORDER_FIELD, shards.shard_of_order(text, F.col("shard_count")))
+    )
+
+
+def placed_key(names: Column):
+    """Key of a VARIANT row with the shard it belongs to: an update that changes either moves the row."""
+    key_of = routed_key(names)
+    return lambda row: F.concat(key_of(row), F.array(target_shard(row).cast("string")))
+
+
 def routed_changes(
     envelopes: DataFrame,
     routes: DataFrame,
@@ -90,12 +116,21 @@ def routed_changes(
     value: str = "value",
     check_size: bool = True,
     split_keys: bool = True,
+    logs: DataFrame | None = None,
 ) -> DataFrame:
-    """Decoded changes of all tables with route, `key` and `_reason`."""
-    changes = R.route(decode.decode(envelopes, value), routes, check_size)
+    """Decoded changes of all tables with route, `key` and `_reason`.
+
+    An update that changes the key, or the shard of a re-sharded target, becomes a delete
+    where the row was and an insert where it is. `logs` orders the logs of an instance
+    (see decode.continued).
+    """
+    changes = decode.decode(envelopes, value)
+    if logs is not None:
+        changes = decode.continued(changes, logs)
+    changes = R.route(changes, routes, check_size)
     key_of = routed_key(F.col("keys"))
     if split_keys:
-        changes = decode.split_key_updates(changes, key_of)
+        changes = decode.split_key_updates(changes, placed_key(F.col("keys")))
     is_row = F.col("op") != S.DDL
     changes = changes.withColumn("key", F.when(is_row, key_of(F.col("row"))))
     absent = is_row & (
@@ -105,21 +140,20 @@ def routed_changes(
     return changes.withColumn(S.REASON, reason).drop("before")
 
 
-def lake_targets(routed: DataFrame) -> DataFrame:
-    """Sharded targets are keyed by source names and key."""
-    full = F.concat(F.array("db", "table"), F.col("key"))
+def lake_targets(routed: DataFrame, instance_key: bool = False) -> DataFrame:
+    """Sharded targets are keyed by source names and key.
+
+    `instance_key` puts the instance in front, for targets that several instances feed: their
+    positions have no common order, so their rows must not share a key.
+    """
+    source = F.array("instance", "db", "table") if instance_key else F.array("db", "table")
+    full = F.concat(source, F.col("key"))
     return routed.withColumn("key", F.when(F.col("sharding"), full).otherwise(F.col("key")))
 
 
 def migration_targets(routed: DataFrame) -> DataFrame:
     """Re-shard, extend keys by the merge indexes, set aside rows without either."""
-    field = F.try_variant_get(F.col("row"), "$", "map<string,variant>")[F.col("shard_field")]
-    text = F.try_variant_get(field, "$", "string")
-    shard = (
-        F.when(F.col("shard_count") <= 1, F.lit(0))
-        .when(F.col("shard_field") == shards.UID_FIELD, shards.shard_of_uid(text, F.col("shard_count")))
-        .when(F.col("shard_field") == shards.ORDER_FIELD, shards.shard_of_order(text, F.col("shard_count")))
-    )
+    shard = target_shard(F.col("row"))
     indexes = F.array(shards.database_index("db"), shards.table_index("table"))
     is_row = F.col("op") != S.DDL
     merges = F.col("merge_fields") & is_row
@@ -141,8 +175,8 @@ def migration_targets(routed: DataFrame) -> DataFrame:
     ).drop("_shard")
 
 
-def targets(routed: DataFrame, profile: str) -> DataFrame:
-    return lake_targets(routed) if profile == fold.LAKE else migration_targets(routed)
+def targets(routed: DataFrame, profile: str, instance_key: bool = False) -> DataFrame:
+    return lake_targets(routed, instance_key) if profile == fold.LAKE else migration_targets(routed)
 
 
 def states(targeted: DataFrame, f_ts: Column | int) -> DataFrame:
@@ -150,4 +184,5 @@ def states(targeted: DataFrame, f_ts: Column | int) -> DataFrame:
     stamp = f_ts if isinstance(f_ts, Column) else F.lit(f_ts)
     rows = targeted.where(F.col(S.REASON).isNull() & (F.col("op") != S.DDL))
     image = F.struct("row", "db", "table", stamp.cast("bigint").alias("f_ts"))
-    return fold.fold(rows.select(*KEYS, *S.bookkeeping(), image.alias("_row")), KEYS, F.col("_row"))
+    rows = rows.select(*KEYS, *S.bookkeeping(), image.alias("_row"), stamp.cast("bigint").alias("_stamp"))
+    return fold.fold(rows, KEYS, F.col("_row"), F.col("_stamp"))

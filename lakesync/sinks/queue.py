@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +37,20 @@ def write_files(out: DataFrame, path: str) -> None:
     ordered.select("topic", "key", "value").write.mode("overwrite").partitionBy("topic").json(path)
 
 
+def topic_writer(servers: str) -> Callable[[DataFrame, str], None]:
+    """Writer of message topics for SyncJob.write_messages; needs the Kafka connector."""
+    return lambda out, _: write_topics(out, servers)
+
+
+def in_key_order(out: DataFrame) -> DataFrame:
+    """All messages of a key in one task, by position: consumers read them in order."""
+    return out.repartition("topic", "key").sortWithinPartitions("topic", "key", "position")
+
+
 def write_topics(out: DataFrame, servers: str) -> None:
-    """Message topics; needs the Kafka connector. The position goes along as a header,
-    since several tasks may write changes of one key."""
+    """Message topics; needs the Kafka connector. Changes of a key are sent in log order,
+    as its topic partition is one sequence anyway; the position goes along as a header."""
+    out = in_key_order(out)
     header = F.array(
         F.struct(F.lit("position").alias("key"), F.encode(F.to_json("position"), "utf-8").alias("value"))
     )

@@ -31,7 +31,7 @@ _ORD = "struct<incremental: boolean, file_no: bigint, pos: bigint, row_no: int>"
 _IMAGE = "struct<row: variant, db: string, table: string, f_ts: bigint>"
 STATE_SCHEMA = (
     f"key array<string>, anchor_op tinyint, anchor_ord {_ORD}, image {_IMAGE}, image_ord {_ORD}, "
-    f"last_op tinyint, last_ord {_ORD}, dst_db string, dst_table string"
+    f"last_op tinyint, last_ord {_ORD}, last_ts bigint, dst_db string, dst_table string"
 )
 
 
@@ -44,10 +44,19 @@ class StateStore:
 
     # -- writing --
 
-    def write_batch(self, batch_id: int, states: DataFrame) -> None:
-        """Store one batch; the same id replaces the same batch."""
+    def write_batch(self, batch_id: int, states: DataFrame, query: str = "") -> None:
+        """Store one batch; the same id replaces the same batch.
+
+        `query` names the streaming query that counts the ids. A store that holds batches of
+        another query would take new ids for old ones, so it refuses.
+        """
+        owners = {r["query"] or "" for r in self._read_marks("commits", "query string")}
+        owners |= {r["query"] or "" for r in self._read_marks("versions", "query string")}
+        others = sorted(o for o in owners if o and query and o != query)
+        if others:
+            raise ValueError(f"store {self.root} holds batches of query {others[0]}, not of {query}")
         self._write(states, f"{self.root}/changes/batch_id={batch_id}")
-        self._mark(f"{self.root}/commits/batch_id={batch_id}", {"batch": batch_id})
+        self._mark(f"{self.root}/commits/batch_id={batch_id}", {"batch": batch_id, "query": query})
 
     def compact(self, *, full: bool = True, drop_deleted_before: tuple[int, int] | None = None) -> int:
         """Fold committed batches into a new version and publish it.
@@ -71,7 +80,9 @@ class StateStore:
             at = F.struct(F.col("last_ord.file_no").alias("a"), F.col("last_ord.pos").alias("b"))
             states = states.where(~((F.col("last_op") == S.DELETE) & (at < bound)))
         self._write(states, f"{self.root}/base/version={version}")
+        owners = [r["query"] for kind in ("commits", "versions") for r in self._read_marks(kind, "query string") if r["query"]]
         mark = {
+            "query": owners[0] if owners else "",
             "version": version,
             "live": _runs([version], [] if full else published["live"]),
             "folded": _runs(batches, published["folded"]),
@@ -146,6 +157,15 @@ class StateStore:
         rows = self.current_images(dst_db, dst_table, profile).select("image.*")
         return accepted(typed_rows(rows, columns, lineage=lineage, f_ts=stamp, **typed_options))
 
+    def deleted_keys(
+        self, dst_db: str, dst_table: str, columns: Sequence[ColumnSpec], profile: str, since: int, *, lineage: bool = False
+    ) -> DataFrame:
+        """Typed keys of a target that were deleted after a sync time: what an increment has to take away downstream."""
+        names = fold.key_columns(columns, lake=profile == fold.LAKE, sharded=lineage)
+        types = {c.name: c.spark_type() for c in columns}
+        gone = self.states(dst_db, dst_table).where((fold.action(profile) == fold.REMOVE) & (F.col("last_ts") > since))
+        return gone.select(*[F.get("key", F.lit(i)).try_cast(types.get(n, "string")).alias(n) for i, n in enumerate(names)])
+
     def current_rejected(
         self, dst_db: str, dst_table: str, columns: Sequence[ColumnSpec], profile: str, **typed_options
     ) -> DataFrame:
@@ -235,4 +255,4 @@ def _literal(value):
     if isinstance(value, list):
         runs = [F.array(*[F.lit(x).cast("bigint") for x in run]) for run in value]
         return F.array(*runs).cast("array<array<bigint>>")
-    return F.lit(value).cast("bigint")
+    return F.lit(value) if isinstance(value, str) else F.lit(value).cast("bigint")

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakesync import schemas as S
-from lakesync.operators import ddl, fold, quality
+from lakesync.operators import ddl, decode, fold, quality
 from lakesync.operators.routes import check_routes
 from lakesync.operators.typed import sync_time
 from lakesync.plans import sync
-from lakesync.session import bounded_broadcast
+from lakesync.session import bounded_broadcast, checkpointed
 from lakesync.sinks import queue
 from lakesync.sinks.store import StateStore
 from lakesync.sources import catalog
@@ -30,7 +30,12 @@ class SyncJob:
     Every output of a batch goes to a folder named by the batch id and replaces it, and
     state rows merge by log position, so a repeated batch, or one that arrives late,
     changes nothing. Root and streaming checkpoint belong together: batch ids count from
-    the start of the checkpoint.
+    the start of the checkpoint, and a store refuses the batches of another query.
+
+    `allow` names route problems to accept (see routes.route_collisions); with
+    "several_instances" the instance becomes part of the keys of sharded lake targets.
+    `logs` orders the logs of an instance that has had several (see decode.continued);
+    without it, a second log of an instance stops the job.
     """
 
     routes: DataFrame
@@ -42,19 +47,41 @@ class SyncJob:
     drop_deletes: bool = False
     f_ts: Column | int | None = None
     write_messages: Callable[[DataFrame, str], None] = queue.write_files
+    allow: Sequence[str] = ()
+    logs: DataFrame | None = None
+    seen_logs: dict[str, str] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
-        check_routes(self.routes)
-        keyless = catalog.keyless(self.routes, lake=self.profile == fold.LAKE).limit(10).collect()
-        if keyless:
-            raise ValueError("tables without a key: " + ", ".join(f"{r['src_db']}.{r['src_table']}" for r in keyless))
+        # Written once: a batch must not read the catalog again, and all batches see the routes checked here.
+        self.routes = checkpointed(self.routes)
+        check_routes(self.routes, self.allow)
+        keyless = catalog.keyless(self.routes, lake=self.profile == fold.LAKE)
+        some = keyless.limit(10).collect()
+        if some:
+            names = ", ".join(f"{r['src_db']}.{r['src_table']}" for r in some)
+            raise ValueError(f"{keyless.count()} tables without a key: {names}")
         self.routes = bounded_broadcast(self.routes)
+        if self.logs is not None:
+            self.logs = checkpointed(self.logs)
+
+    def check_logs(self, changes: DataFrame) -> None:
+        """Without `logs`, an instance has one log; a row per instance comes to the driver."""
+        named = changes.where((F.trim("file") != "") & F.col("instance").isNotNull())
+        base = decode.log_base(F.col("file"))
+        for r in named.groupBy("instance").agg(F.min(base).alias("first"), F.max(base).alias("last")).collect():
+            known = self.seen_logs.setdefault(r["instance"], r["first"])
+            if {r["first"], r["last"]} != {known}:
+                other = r["last"] if r["last"] != known else r["first"]
+                raise ValueError(f"instance {r['instance']} has a second log {other!r} after {known!r}: list its logs in `logs`")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch of envelope text in column `value`."""
-        routed = sync.routed_changes(batch, self.routes, check_size=False)
-        targeted = sync.targets(routed, self.profile).persist()
+        routed = sync.routed_changes(batch, self.routes, check_size=False, logs=self.logs)
+        targeted = sync.targets(routed, self.profile, "several_instances" in self.allow).persist()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
         try:
+            if self.logs is None:
+                self.check_logs(targeted)
             log, blank = ddl.capture(targeted)
             log.write.mode("overwrite").parquet(f"{self.root}/ddl_log/batch_id={batch_id}")
             bad = quality.quarantined(targeted.unionByName(blank)).select(*S.QUARANTINE_COLUMNS)
@@ -68,7 +95,7 @@ class SyncJob:
                 audit.write.mode("overwrite").parquet(f"{self.root}/deletes/batch_id={batch_id}")
                 rows = quality.without_deletes(rows)
             stamp = self.f_ts if self.f_ts is not None else sync_time()
-            StateStore(batch.sparkSession, self.root).write_batch(batch_id, sync.states(rows, stamp))
+            StateStore(batch.sparkSession, self.root).write_batch(batch_id, sync.states(rows, stamp), query)
         finally:
             targeted.unpersist()
 

@@ -281,10 +281,11 @@ def start_from_pos(spark, sf_dir):
 
 def several_instances(spark, sf_dir):
     """Two instances with tables of the same names, read as one feed."""
-    events = E.table(spark, sf_dir, "events")
+    orders = E.table(spark, sf_dir, "orders")
+    image = F.struct("o_orderkey", "o_custkey")
     feeds = {
-        "i0": decode.decode(E.event_envelopes(events.where("user_id % 2 = 0"))),
-        "i1": decode.decode(E.event_envelopes(events)),
+        "i0": decode.decode(E.row_envelopes(orders, "shop_00_db", "t_event_0", image, F.col("o_orderkey"))),
+        "i1": decode.decode(E.event_envelopes(E.table(spark, sf_dir, "events"))),
     }
     return envelopes.fan_in(feeds).groupBy("instance", "table").agg(
         F.count(F.lit(1)).alias("changes"), F.max("pos").alias("last_pos")
@@ -434,7 +435,7 @@ FROM e GROUP BY ALL""",
     "start_from_log": f"WITH {E.E_SQL} SELECT event_id AS pos, op, ts_ms FROM e WHERE NOT snap",
     "start_from_pos": f"WITH {E.E_SQL} SELECT event_id AS pos, op, ts_ms FROM e WHERE NOT snap AND event_id > 1500",
     "several_instances": f"""WITH {E.E_SQL}, b AS (SELECT 'i1' AS instance, tbl, event_id FROM e UNION ALL
-  SELECT 'i0', tbl, event_id FROM e WHERE user_id % 2 = 0)
+  SELECT 'i0', 't_event_0', o_orderkey FROM orders)
 SELECT instance, tbl AS table, count(*) AS changes, max(event_id) AS last_pos FROM b GROUP BY ALL""",
     "shard_indexes": """WITH u AS (SELECT DISTINCT user_id % 100 AS u FROM events),
 n AS (SELECT 'a_' || lpad(CAST(u AS VARCHAR), 2, '0') || '_' || n_nationkey || '_db' AS db,

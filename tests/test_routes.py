@@ -8,24 +8,24 @@ from lakesync.sources import catalog
 from tests.helpers import doc, docs, rows
 
 DETAILS = {
-    "rc_order_data_00_00_db": {
+    "ledger_s00p00": {
         "type": 2,
         "sharding": {
-            "sourceDb": "rc_order_data_([0-9][0-9])_([0-9][0-9])_db",
-            "targetDb": "rc_order_data_xx_yy_db",
+            "sourceDb": "ledger_s([0-9]{2})p([0-9]{2})",
+            "targetDb": "ledger_all",
             "tables": {
-                "t_basic": {"sourceTable": "t_basic_[0-9]", "shardingType": "TEN"},
-                "t_face": {"sourceTable": "t_face_[0-9]", "shardingType": "TEN", "nodata": True},
-                "t_new": {"sourceTable": "t_old", "sharding": False, "batchSize": 7},
+                "entries": {"sourceTable": "entries_[0-9]", "shardingType": "TEN"},
+                "photos": {"sourceTable": "photos_[0-9]", "shardingType": "TEN", "nodata": True},
+                "renamed": {"sourceTable": "legacy", "sharding": False, "batchSize": 7},
             },
         },
     },
-    "rc_user_00_00_db": {"type": 2, "sharding": {"sourceDb": "rc_user_([0-9][0-9])_([0-9][0-9])_db", "targetDb": "u2",
-                                                 "tables": {"t_u": "t_u_[0-9]"}}},
-    "rc_user_00_db": {"type": 2, "sharding": {"sourceDb": "rc_user_([0-9][0-9])_db", "targetDb": "u1",
-                                              "tables": {"t_u": "t_u_[0-9]"}}},
-    "account_db": {"type": 2, "sharding": {"dbNameSource": "account_db", "dbNameTarget": "acc",
-                                           "tables": {"info": "info_([0-9]|[1-9][0-9]|1[0-9][0-9])"}},
+    "member_s00p00": {"type": 2, "sharding": {"sourceDb": "member_s([0-9]{2})p([0-9]{2})", "targetDb": "u2",
+                                                 "tables": {"profile": "profile_[0-9]"}}},
+    "member_s00": {"type": 2, "sharding": {"sourceDb": "member_s([0-9]{2})", "targetDb": "u1",
+                                              "tables": {"profile": "profile_[0-9]"}}},
+    "books": {"type": 2, "sharding": {"dbNameSource": "books", "dbNameTarget": "acc",
+                                           "tables": {"pages": "page_(1?[0-9]{1,2})"}},
                    "tables": ["kind"]},
     "plain": {"type": 2, "tables": ["a", "b"]},
     "all": {"type": 1},
@@ -49,19 +49,19 @@ def test_patterns_and_lists(spark):
     got = targets(
         spark,
         [
-            ("rc_order_data_03_17_db", "t_basic_4"), ("rc_order_data_03_17_db", "t_basic_44"),
-            ("rc_order_data_03_17_db", "t_old"), ("rc_user_01_02_db", "t_u_1"), ("rc_user_01_db", "t_u_1"),
-            ("account_db", "info_199"), ("account_db", "info_200"), ("account_db", "kind"),
-            ("xaccount_db", "kind"),
+            ("ledger_s03p17", "entries_4"), ("ledger_s03p17", "entries_44"),
+            ("ledger_s03p17", "legacy"), ("member_s01p02", "profile_1"), ("member_s01", "profile_1"),
+            ("books", "page_199"), ("books", "page_200"), ("books", "kind"),
+            ("xbooks", "kind"),
         ],
     )
     assert got == {
-        ("rc_order_data_03_17_db", "t_basic_4"): ("rc_order_data_xx_yy_db", "t_basic", True),
-        ("rc_order_data_03_17_db", "t_old"): ("rc_order_data_xx_yy_db", "t_new", False),
-        ("rc_user_01_02_db", "t_u_1"): ("u2", "t_u", True),
-        ("rc_user_01_db", "t_u_1"): ("u1", "t_u", True),
-        ("account_db", "info_199"): ("acc", "info", True),
-        ("account_db", "kind"): ("acc", "kind", False),
+        ("ledger_s03p17", "entries_4"): ("ledger_all", "entries", True),
+        ("ledger_s03p17", "legacy"): ("ledger_all", "renamed", False),
+        ("member_s01p02", "profile_1"): ("u2", "profile", True),
+        ("member_s01", "profile_1"): ("u1", "profile", True),
+        ("books", "page_199"): ("acc", "pages", True),
+        ("books", "kind"): ("acc", "kind", False),
     }
 
 
@@ -74,11 +74,11 @@ def test_sync_types(spark):
 
 
 def test_route_details(spark):
-    got = {r.src_table: r for r in resolved(spark, [("rc_order_data_00_00_db", t) for t in ("t_basic_1", "t_face_1", "t_old")]).collect()}
-    assert (got["t_basic_1"].shard_count, got["t_basic_1"].shard_field, got["t_basic_1"].batch_size) == (10, "Fuid", 1024)
-    assert got["t_old"].batch_size == 7 and got["t_old"].shard_field is None
-    routes = resolved(spark, [("rc_order_data_00_00_db", "t_basic_1"), ("rc_order_data_00_00_db", "t_face_1")])
-    assert rows(R.data_routes(routes), "src_table") == [("t_basic_1",)]
+    got = {r.src_table: r for r in resolved(spark, [("ledger_s00p00", t) for t in ("entries_1", "photos_1", "legacy")]).collect()}
+    assert (got["entries_1"].shard_count, got["entries_1"].shard_field, got["entries_1"].batch_size) == (10, "Fuid", 1024)
+    assert got["legacy"].batch_size == 7 and got["legacy"].shard_field is None
+    routes = resolved(spark, [("ledger_s00p00", "entries_1"), ("ledger_s00p00", "photos_1")])
+    assert rows(R.data_routes(routes), "src_table") == [("entries_1",)]
 
 
 def test_first_rule_wins_and_blank_target_is_the_source(spark):
@@ -115,7 +115,7 @@ def test_broadcast_only_below_the_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_new_routes(spark):
+def tesrenamed_routes(spark):
     routes = resolved(spark, [("all", "a"), ("all", "b")])
     assert rows(R.new_routes(routes, routes.where("src_table = 'a'")), "src_table") == [("b",)]
 

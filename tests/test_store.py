@@ -248,7 +248,7 @@ def test_job_checks_its_routes(spark, tmp_path):
     with pytest.raises(ValueError, match="without a key: shop_01_db.t_event_3"):
         SyncJob(routes(spark, pk=[], keys=["u"]), str(tmp_path))
     SyncJob(routes(spark, pk=[], keys=["u"]), str(tmp_path), fold.MIGRATION)
-    with pytest.raises(ValueError, match="duplicate routes"):
+    with pytest.raises(ValueError, match="1 duplicate_source"):
         SyncJob(routes(spark).unionByName(routes(spark)), str(tmp_path))
 
 
