@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Labelled pages that the model is fitted on, and the gradient steps.
-PAGES, STEPS, RATE, DECAY = 600, 200, 0.15, 5e-4
+# Labelled pages that the model is fitted on, gradient steps, their rate and the decay of weights.
+PAGES, STEPS, RATE, DECAY = 900, 200, 0.15, 5e-4
 # Characters of pages whose nodes a task holds at a time; one longer page is held alone.
 BATCH_CHARS = 1 << 21
 
@@ -52,6 +52,7 @@ CLOSES = {
 P_SCOPE = frozenset({"td", "th", "table", "button", "object", "caption"})
 KINDS = {"p": 1, "h1": 2, "h2": 2, "h3": 2, "h4": 2, "h5": 2, "h6": 2, "ul": 3, "ol": 3, "li": 4, "dl": 3, "dd": 4, "dt": 4, "blockquote": 1, "pre": 1}
 KIND_COUNT = 7
+CONTAINERS = (0, 3, 5)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>", re.S
@@ -191,13 +192,20 @@ def steps(value: float, *bounds: float) -> int:
     return sum(value > b for b in bounds)
 
 
-def features(page: Page) -> list[list[str]]:
-    """Names of the features of each node: markup, amount of text, links and surroundings.
+def features(page: Page) -> list[list[tuple[str, float]]]:
+    """Names and values of the features of each node: markup, amounts of text, links and surroundings.
 
     Nothing depends on how the text itself is written: odd text in an article is still its text.
+    The blocks of one container are much alike, so together they weigh as much as one; else a
+    long article would be judged by the sum of many small hints.
     """
     n = len(page.parent)
-    chars, links, leaves = ([0] * n for _ in range(3))
+    chars, links, leaves, own_leaves = ([0] * n for _ in range(4))
+    around = [0] * n
+    for i in range(1, n):
+        up = page.parent[i]
+        around[i] = up if page.kind[up] in CONTAINERS else around[up]
+        own_leaves[around[i]] += page.text[i] is not None
     for i in range(n - 1, -1, -1):
         text = page.text[i]
         if text is not None:
@@ -212,17 +220,18 @@ def features(page: Page) -> list[list[str]]:
     for i in range(n):
         kind = page.kind[i]
         density = steps(links[i] / max(1, chars[i]), 0.1, 0.3, 0.6, 0.9)
-        # Amounts count by kind of node; share of the page's text tells wrappers from parts.
-        own = [
+        share = 1.0 if kind in CONTAINERS else 1 / max(1, own_leaves[around[i]])
+        # Amounts count by kind of node; the part of the page's text tells wrappers from their contents.
+        names = [
             f"c{kind}:{steps(chars[i], 0, 20, 60, 150, 400, 1500)}",
             f"l{kind}:{density}",
             f"h{kind}:{steps(chars[i] / total, 0.02, 0.1, 0.3, 0.6, 0.9, 0.98)}",
             f"b{kind}:{steps(leaves[i], 1, 3, 8, 20)}",
         ]
         if kind == 6:
-            marks = page.marks[page.parent[i]]
-            own += ["p" + marks[0], f"e:{steps(chars[i], 60)}{density > 1}"]
-        out.append(own + page.marks[i])
+            names += ["p" + page.marks[page.parent[i]][0], f"e:{steps(chars[i], 60)}{density > 1}"]
+        # Words of class names keep their weight.
+        out.append([(x, share) for x in names] + [(x, 1.0 if x[0] == "w" else share) for x in page.marks[i]])
     return out
 
 
@@ -238,7 +247,7 @@ class Forest:
     """Trees of many pages, laid out by depth for the passing of messages."""
 
     def __init__(self, pages: list[Page], numbers: dict[str, int], grow: bool = False):
-        parents, kinds, depths, node, feature = [], [], [], [], []
+        parents, kinds, depths, node, feature, value = [], [], [], [], [], []
         base = 0
         self.starts = []
         for page in pages:
@@ -247,11 +256,12 @@ class Forest:
             kinds.append(page.kind)
             depths.append(page.depth)
             for i, names in enumerate(features(page)):
-                for name in names:
+                for name, share in names:
                     number = numbers.setdefault(name, len(numbers)) if grow else numbers.get(name)
                     if number is not None:
                         node.append(base + i)
                         feature.append(number)
+                        value.append(share)
             base += len(page.parent)
         self.size = base
         self.parent = np.concatenate(parents) if parents else np.zeros(0, np.int64)
@@ -259,10 +269,10 @@ class Forest:
         depth = np.concatenate(depths).astype(np.int64) if depths else np.zeros(0, np.int64)
         order = np.argsort(depth, kind="stable")
         self.levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1) if len(order) else []
-        self.node, self.feature = np.array(node, np.int64), np.array(feature, np.int64)
+        self.node, self.feature, self.value = np.array(node, np.int64), np.array(feature, np.int64), np.array(value, np.float64)
 
     def odds(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.node, weights[self.feature], self.size)
+        return np.bincount(self.node, weights[self.feature] * self.value, self.size)
 
     def marginals(self, model_weights: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """P(content) of each node and P(parent state, own state) of each node with a parent, by one pass up and one down."""
@@ -309,7 +319,7 @@ def learn(labelled: list[tuple[str, str]]) -> Model:
         expected = np.zeros_like(pairs)
         np.add.at(expected, forest.kind[inner], edges[inner])
         slopes = (
-            np.bincount(forest.feature, (state - content)[forest.node], len(weights)) / len(pages) - DECAY * weights,
+            np.bincount(forest.feature, (state - content)[forest.node] * forest.value, len(weights)) / len(pages) - DECAY * weights,
             (seen - expected) / len(pages) - DECAY * pairs,
         )
         for k, slope in enumerate(slopes):
@@ -356,7 +366,7 @@ PARTS = {
     "footer": "footer bottom copyright colophon legal site-footer page-footer credits imprint",
     "side": "sidebar side aside widget rail secondary right-column left-column related recommended trending popular more-stories tags tagcloud",
     "notice": "notice cookie cookies consent gdpr alert message popup modal overlay disclaimer paywall announcement privacy banner-notice warning info-box",
-    "advert": "ad ads advert advertisement adsense sponsored sponsor promo promotion banner-ad dfp commercial teaser",
+    "advert": "ad ad ads advert advertisement adsense sponsored sponsor promo promotion banner-ad dfp commercial teaser",
     "form": "form search login signup subscribe newsletter contact subscription register search-form mailing",
     "comments": "comments comment comment-list replies reply respond discussion disqus responses feedback user-comments reviews thread",
     "share": "share social sharing follow share-buttons social-links author-bio byline-links tools print",
@@ -434,7 +444,7 @@ def labelled_pages(count: int = PAGES, seed: int = 1) -> list[tuple[str, str]]:
             title = sentence(2, 10)[: pick.choice([60, 200])]
             out.append(f"<h1>{title}</h1>")
             texts.append(title)
-        for _ in range(pick.choice([1, 2, 3, 4, 6, 9, 14])):
+        for _ in range(pick.choice([1, 2, 3, 4, 6, 9, 14, 40])):
             kind = pick.random()
             if kind < 0.72:
                 text = prose(1, 7) if pick.random() < 0.85 else sentence(1, 4)
@@ -456,7 +466,7 @@ def labelled_pages(count: int = PAGES, seed: int = 1) -> list[tuple[str, str]]:
                 out.append(f"<table><tr><td>{cells[0]}</td><td>{cells[1]}</td></tr><tr><td>{cells[2]}</td><td>{cells[3]}</td></tr></table>")
                 texts += cells
         for _ in range(pick.choice([0, 0, 1, 2])):
-            out.insert(pick.randint(min(1, len(out)), len(out)), part(pick.choice(["advert", "share", "side", "form", "notice", "menu"])))
+            out.insert(pick.randint(min(1, len(out)), len(out)), part(pick.choice(["advert", "advert", "share", "side", "form", "notice", "menu"])))
         return "".join(out), texts
 
     pages = []
