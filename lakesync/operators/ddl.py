@@ -1,7 +1,8 @@
 """DDL events: capture, ALTER actions, target statements, schema evolution.
 
-All of it is expressions over the DDL text of a row; there is no SQL parser. Four
-kinds of ALTER items are recognised, anything else becomes a SKIP action.
+All of it is expressions over the DDL text of a row; there is no SQL parser. ADD, CHANGE,
+MODIFY, RENAME and DROP of columns are recognised (MODIFY and RENAME as a CHANGE that keeps
+the name or the type), anything else becomes a SKIP action.
 """
 
 from __future__ import annotations
@@ -296,6 +297,8 @@ def _item_actions(item: Column) -> Column:
     add = rf"(?is)^\s*add\s+(?:column\s+)?{_NOT_A_COLUMN}(?:if\s+not\s+exists\s+)?"
     many = rf"(?is)^\s*add\s+(?:column\s+)?\((.*)\)\s*$"
     change = rf"(?is)^\s*change\s+(?:column\s+)?{_NAME}\s+(.*)$"
+    modify = r"(?is)^\s*modify\s+(?:column\s+)?"
+    rename = rf"(?is)^\s*rename\s+column\s+{_NAME}\s+to\s+{_NAME}\s*$"
     drop = rf"(?is)^\s*drop\s+(?:column\s+)?{_NOT_A_COLUMN}(?:if\s+exists\s+)?{_NAME}\s*$"
     bare = rf"(?is)^\s*{_NAME}\s*$"
     none = _none()
@@ -311,6 +314,9 @@ def _item_actions(item: Column) -> Column:
     single = F.regexp_replace(item, add, "")
     definition = F.regexp_extract(item, change, 2)
     old_name = unquoted(F.regexp_extract(item, change, 1))
+    modified = F.regexp_replace(item, modify, "")
+    kept_name = unquoted(F.regexp_extract(modified, _COLUMN, 1))
+    from_name, to_name = (unquoted(F.regexp_extract(item, rename, i)) for i in (1, 2))
     return (
         F.when(F.rlike(item, F.lit(many)), F.transform(listed, lambda d: _definition(ADD, d, None)))
         .when(
@@ -321,6 +327,14 @@ def _item_actions(item: Column) -> Column:
             F.rlike(item, F.lit(change)) & F.rlike(definition, F.lit(_COLUMN)),
             F.array(_definition(CHANGE, definition, old_name)),
         )
+        .when(
+            F.rlike(item, F.lit(modify)) & F.rlike(modified, F.lit(_COLUMN)),
+            F.array(_definition(CHANGE, modified, kept_name)),
+        )
+        .when(
+            F.rlike(item, F.lit(rename)),
+            F.array(_action(CHANGE, from_name, to_name, none, none, F.lit(False), none)),
+        )
         .when(F.rlike(item, F.lit(drop)), dropped(drop))
         .when(F.rlike(item, F.lit(bare)), dropped(bare))
         .otherwise(F.array(_skip(item)))
@@ -381,9 +395,10 @@ def _change(state: Evolution, a: Row, at: tuple[int, int]) -> None:
     i = state.names().index(old)
     was = state.columns[i]
     comment = a["comment"] if a["comment"] is not None else was.comment
-    same = spark_type(a["type_name"]) == was.spark_type()
+    type_name = a["type_name"] or was.type_name
+    same = spark_type(type_name) == was.spark_type()
     state.columns[i] = ColumnSpec(
-        new, a["type_name"], was.is_pk, was.is_uk, comment, was.length, was.wire if same else None, was.scale
+        new, type_name, was.is_pk, was.is_uk, comment, was.length, was.wire if same else None, was.scale
     )
     steps = state.history.pop(old)
     state.history[new] = steps if old == new else [*steps, (at, new)]

@@ -25,7 +25,8 @@ def _ddl_text():
         ),
         F.format_string("CREATE INDEX i%d ON %s (value)", k, tbl),
         F.format_string(
-            "ALTER TABLE `%s`.`%s` MODIFY COLUMN `value` BIGINT, CHANGE `v%d` `v%d` DATETIME AFTER `w%d`", db, tbl, k, k, k
+            "ALTER TABLE `%s`.`%s` MODIFY COLUMN `value` BIGINT, CHANGE `v%d` `v%d` DATETIME AFTER `w%d`, RENAME COLUMN r%d TO `s%d`",
+            db, tbl, k, k, k, k, k,
         ),
         F.format_string(
             "ALTER TABLE `%s` ADD INDEX idx (value), DROP PRIMARY KEY; ALTER TABLE `%s` ADD q%d TEXT COMMENT 'x;y'",
@@ -110,7 +111,7 @@ def _customer_ddl(spark, sf_dir):
         "ALTER TABLE customer CHANGE c_nationkey nation BIGINT COMMENT 'n' FIRST",
         "ALTER TABLE customer DROP COLUMN c_mktsegment",
         "ALTER TABLE customer CHANGE c_acctbal balance DECIMAL(12,2), ADD total INT AFTER balance",
-        "ALTER TABLE customer CHANGE c_name name VARCHAR(99) AFTER nation, DROP total",
+        "ALTER TABLE customer RENAME COLUMN c_name TO name, MODIFY name VARCHAR(99) AFTER nation, DROP total",
     ]
     region = E.table(spark, sf_dir, "region")
     key = F.col("r_regionkey")
@@ -188,7 +189,7 @@ DDL_SQL = f"""{E.E_SQL}, d AS (SELECT *, CASE event_id % 8
     || k || ', ADD COLUMN `x' || k || '` BIGINT'
   WHEN 5 THEN 'CREATE INDEX i' || k || ' ON ' || tbl || ' (value)'
   WHEN 6 THEN 'ALTER TABLE `' || db || '`.`' || tbl || '` MODIFY COLUMN `value` BIGINT, CHANGE `v' || k || '` `v' || k
-    || '` DATETIME AFTER `w' || k || '`'
+    || '` DATETIME AFTER `w' || k || '`, RENAME COLUMN r' || k || ' TO `s' || k || '`'
   ELSE 'ALTER TABLE `' || tbl || '` ADD INDEX idx (value), DROP PRIMARY KEY; ALTER TABLE `' || tbl || '` ADD q' || k
     || ' TEXT COMMENT ''x;y''' END AS ddl FROM e WHERE event_id % 11 <> 0)"""
 
@@ -204,19 +205,20 @@ SELECT 'blank_offset' AS reason, 'i0' AS instance, count(*) + count(*) FILTER (W
 UNION ALL SELECT 'blank_offset', 'i1', count(*) FROM b WHERE event_id % 5 = 0""",
     "ddl_actions": f"""WITH {DDL_SQL},
 x AS (SELECT event_id, event_id % 8 AS t, k, unnest(CASE event_id % 8 WHEN 1 THEN [0, 1] WHEN 4 THEN [0, 1, 2, 3]
-      WHEN 6 THEN [0, 1] WHEN 7 THEN [0, 1, 2] ELSE [0] END) AS s FROM d)
+      WHEN 6 THEN [0, 1, 2] WHEN 7 THEN [0, 1, 2] ELSE [0] END) AS s FROM d)
 SELECT event_id AS pos, CAST(s AS BIGINT) AS seq,
   CASE WHEN t IN (0, 1) THEN 'ADD' WHEN t = 2 THEN 'CHANGE' WHEN t = 3 THEN 'DROP'
        WHEN t = 4 THEN CASE s WHEN 2 THEN 'DROP' ELSE 'ADD' END WHEN t = 5 THEN 'SKIP'
-       WHEN t = 6 THEN CASE s WHEN 0 THEN 'SKIP' ELSE 'CHANGE' END
+       WHEN t = 6 THEN 'CHANGE'
        ELSE CASE s WHEN 2 THEN 'ADD' ELSE 'SKIP' END END AS action,
   CASE WHEN t = 0 THEN 'n' || k WHEN t = 1 THEN CASE s WHEN 0 THEN 'n' ELSE 'a' END || k WHEN t = 2 THEN 'value'
        WHEN t = 3 THEN 'n' || k WHEN t = 4 THEN CASE s WHEN 1 THEN 'y' WHEN 2 THEN 'z' ELSE 'x' END || k
-       WHEN t = 6 AND s = 1 THEN 'v' || k WHEN t = 7 AND s = 2 THEN 'q' || k ELSE '' END AS column_name,
-  CASE WHEN t = 2 OR (t = 6 AND s = 1) THEN 'v' || k ELSE '' END AS new_name,
+       WHEN t = 6 THEN CASE s WHEN 0 THEN 'value' WHEN 1 THEN 'v' || k ELSE 'r' || k END
+       WHEN t = 7 AND s = 2 THEN 'q' || k ELSE '' END AS column_name,
+  CASE WHEN t = 2 OR (t = 6 AND s = 1) THEN 'v' || k WHEN t = 6 AND s = 0 THEN 'value' WHEN t = 6 THEN 's' || k ELSE '' END AS new_name,
   CASE WHEN t = 0 THEN 'VARCHAR' WHEN t = 1 THEN CASE s WHEN 0 THEN 'DECIMAL' ELSE 'INT UNSIGNED' END
        WHEN t = 2 THEN 'DOUBLE' WHEN t = 4 THEN CASE s WHEN 1 THEN 'DATE' WHEN 2 THEN '' ELSE 'BIGINT' END
-       WHEN t = 6 AND s = 1 THEN 'DATETIME' WHEN t = 7 AND s = 2 THEN 'TEXT' ELSE '' END AS type_name,
+       WHEN t = 6 THEN CASE s WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'DATETIME' ELSE '' END WHEN t = 7 AND s = 2 THEN 'TEXT' ELSE '' END AS type_name,
   CASE WHEN t = 0 THEN 'id' WHEN t = 6 AND s = 1 THEN 'w' || k ELSE '' END AS after_col,
   CASE WHEN t = 0 THEN 'note ' || k WHEN t = 2 THEN 'it''s, ok' WHEN t = 4 AND s = 1 THEN 'a,b'
        WHEN t = 7 AND s = 2 THEN 'x;y' ELSE '' END AS comment,
@@ -232,7 +234,7 @@ SELECT event_id AS pos, 'i1_' || file || '_' || event_id AS order_no, CASE event
   WHEN 4 THEN {HEAD} || 'add columns (x' || k || ' long comment '''');' || chr(10)
     || {HEAD} || 'add columns (y' || k || ' date comment ''a,b'');' || chr(10) || {HEAD} || 'drop column z' || k
   WHEN 5 THEN ''
-  WHEN 6 THEN {HEAD} || 'alter column v' || k || ' after w' || k
+  WHEN 6 THEN {HEAD} || 'alter column v' || k || ' after w' || k || ';' || chr(10) || {HEAD} || 'rename column r' || k || ' to s' || k
   ELSE {HEAD} || 'add columns (q' || k || ' string comment ''x;y'')' END AS target_ddl,
   substr('no i1_' || file || '_' || event_id || ' app  job  shop_db.t_event at ', 1, 30) AS message
 FROM d WHERE event_id % 5 = 0""",
