@@ -43,7 +43,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a written table that only finished steps have read."""
+    spark = stored.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stored.stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def dealt(df: DataFrame, key: str) -> DataFrame:

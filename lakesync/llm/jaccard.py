@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import SPREAD, components, dealt, distinct_sets, mixed, shingles, stream, text_slices, words, written
+from lakesync.llm.common import SPREAD, components, dealt, discard, distinct_sets, mixed, shingles, stream, text_slices, words, written
 
 SIZE = 5
 MINS = 8
 # Equal minima with the central member at which a representative is compared with it.
 ALIKE = 3
+# A prefix has one token more for so many tokens of its set, and a pair must share as many more: chance matches do not.
+FURTHER = 32
 # Most members of a group; a larger cluster is several groups.
 MEMBERS = 64
 # Tokens that come last in a prefix because many texts have them: a matter of speed, not of results.
@@ -128,10 +130,12 @@ def sizes_allow(a: str, b: str):
 def central_pairs(classes: DataFrame) -> DataFrame:
     """(a, b): each representative and the most central member, by size of its buckets, of the minhash buckets it is in."""
     places = classes.select("rep", F.posexplode("minima").alias("j", "value"))
-    buckets = places.groupBy("j", "value").agg(F.count("*").alias("bucket")).where("bucket > 1")
+    # Counts and centres are stored, so that hot buckets meet them in joins whose partitions can be split.
+    buckets = written(places.groupBy("j", "value").agg(F.count("*").alias("bucket")).where("bucket > 1"), "jaccard-bucket-counts")
     crowded = written(places.join(buckets, ["j", "value"]), "jaccard-buckets")
     weight = crowded.groupBy("rep").agg(F.sum("bucket").alias("weight"))
     centres = crowded.join(weight, "rep").groupBy("j", "value").agg(F.max(F.struct("weight", -F.col("rep"))).alias("top"))
+    centres = written(centres, "jaccard-centres")
     pairs = (
         crowded.join(centres, ["j", "value"])
         .select(F.col("rep").alias("a"), (-F.col("top.col2")).alias("b"))
@@ -175,7 +179,7 @@ def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -
                     late[maybe] = np.where(known[at] == tokens[maybe], rank[at], 0)
                     tokens = tokens[np.argsort(row * 128 + late, kind="stable")]
                 place = np.arange(len(tokens)) - np.repeat(offsets[:-1], n)
-                longer, shorter = n - -(-3 * n // 4) + 1, n - -(-6 * n // 7) + 1
+                longer, shorter = (n - -(-least // of) + 1 + n // FURTHER for least, of in ((3 * n, 4), (6 * n, 7)))
                 keep = place < longer[row]
                 row, place, tokens = row[keep], place[keep], tokens[keep]
                 packed = (n[row] << 21) | (part[low + row] << 1) | (place < shorter[row])
@@ -189,21 +193,34 @@ def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(doc, n, cluster, part): texts and groups of other clusters that share a prefix token and may link by size."""
-    rows = dealt(rows, "token")
+    """(cluster, part, other, other_part): groups of different clusters that share enough prefix tokens and may link by size.
+
+    The smaller of a linked pair, of m tokens, shares at least 1 + m // FURTHER tokens of its
+    shorter prefix with the longer prefix of the larger. Both sides look up by group, so a token
+    of a large cluster counts once for each of its groups and not for each of its members.
+    """
     first = F.col("packed").bitwiseAND(F.lit(1)) == 1
     n = F.shiftright("packed", 21)
+    # One exchange by token serves both sides.
     matrix = (
-        rows.groupBy("token", F.col("cluster").alias("other"), F.shiftright("packed", 1).bitwiseAND(F.lit((1 << 20) - 1)).alias("part"))
-        .agg(F.min(F.when(first, n)).alias("low"), F.max(F.when(first, n)).alias("high"), F.min(F.when(first, F.col("doc"))).alias("some"))
-        .where("low is not null")
+        dealt(rows, "token")
+        .groupBy("token", "cluster", F.shiftright("packed", 1).bitwiseAND(F.lit((1 << 20) - 1)).alias("part"))
+        .agg(
+            F.min(n).alias("low"),
+            F.max(n).alias("high"),
+            F.min(F.when(first, n)).alias("least"),
+            F.max(F.when(first, n)).alias("most"),
+        )
     )
+    smaller = matrix.select("token", F.col("cluster").alias("other"), F.col("part").alias("other_part"), "least", "most")
     return (
-        rows.join(matrix, "token")
-        .where("cluster != other")
-        .where((F.col("low") <= n) & (4 * F.col("high") >= 3 * n) & (F.col("some") != F.col("doc")))
-        .select("doc", n.alias("n"), F.col("other").alias("cluster"), "part")
-        .distinct()
+        matrix.select("token", "cluster", "part", "low", "high")
+        .join(smaller, "token")
+        .where("cluster != other and least <= high and 4 * most >= 3 * low")
+        .groupBy("cluster", "part", "other", "other_part")
+        .agg(F.count("*").alias("shared"), F.min("least").alias("least"))
+        .where(F.col("shared") > F.expr(f"least div {FURTHER}"))
+        .drop("shared", "least")
     )
 
 
@@ -221,10 +238,18 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
     near = written(central_pairs(classes), "jaccard-central")
     near_sets = written(sets_of(docs, near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), size), "jaccard-sets")
     stars = written(verified(near, near_sets), "jaccard-stars")
+    discard(near_sets)
     clusters = components(stars, "jaccard-clusters")
     groups = written(grouped(classes, clusters), "jaccard-groups")
     rows = written(prefixes(docs, groups, common, size), "jaccard-prefixes")
-    maybe = written(candidates(rows), "jaccard-candidates")
+    pairs = written(candidates(rows), "jaccard-candidates")
+    discard(rows)
+    # Each member of the one group asks the other group.
+    asking = groups.select("cluster", "part", F.col("doc_id").alias("doc"), "n")
+    maybe = written(
+        pairs.join(asking, ["cluster", "part"]).select("doc", "n", F.col("other").alias("cluster"), F.col("other_part").alias("part")),
+        "jaccard-asked",
+    )
     # Groups that may hold a link, and all their members.
     members = groups.select("cluster", "part", F.col("doc_id").alias("member"), F.col("n").alias("size"), "alone")
     hit = maybe.select("cluster", "part").distinct().join(members, ["cluster", "part"])
@@ -249,6 +274,7 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
     )
     pairs = pairs.where(sizes_allow("n", "size")).select(F.least("doc", "member").alias("a"), F.greatest("doc", "member").alias("b")).distinct()
     more = written(verified(written(pairs, "jaccard-pairs"), sets), "jaccard-links")
+    discard(sets)
     return documents.join(classes.drop("minima"), ["n", "f1", "f2"], "left"), stars.union(more)
 
 
