@@ -294,7 +294,7 @@ def scored(docs: DataFrame, model: Model | None, spans: bool = False) -> DataFra
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns], names=[*rest, *names])
 
     names = ["score", "predicted"] + (["spans"] if spans else [])
-    schema = without(docs, "text").add("score", "double").add("predicted", "int")
+    schema = without(docs, "text").add("score", "double").add("predicted", "integer")
     if spans:
         schema.add("spans", "string")
     return docs.select(*rest, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
