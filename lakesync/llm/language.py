@@ -160,7 +160,7 @@ class Lattice:
 
 
 def learn(docs: DataFrame, vocabulary: str = VOCABULARY) -> Model:
-    """Fit the models on at most about SAMPLE_ROWS texts of each language, chosen by a hash of doc_id."""
+    """Fit the models on at most about SAMPLE_ROWS texts of each language, chosen by a hash of doc_id; a task does it."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out())
     known = known.where(F.length("text") <= SAMPLE_CHARS)
     million = 1_000_000
@@ -171,39 +171,51 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY) -> Model:
         known.join(bounded_broadcast(rates), F.col("lang") == F.col("of"))
         .where(F.pmod(F.xxhash64(F.lit(10), "doc_id"), F.lit(million)) < F.col("rate"))
         .select("lang", F.lower("text").alias("text"))
-        .toArrow()
     )
-    languages = sorted(set(sample.column("lang").to_pylist()), key=str.encode)
     names = pieces(vocabulary)
-    joined = np.frombuffer(b"".join(names), np.uint8)
     ends = np.cumsum([len(x) for x in names], dtype=np.int64)
-    hashes = hashed(joined, ends - np.array([len(x) for x in names], np.int64), ends)
-    tables = index(hashes)
-    if not languages:
+    hashes = hashed(np.frombuffer(b"".join(names), np.uint8), ends - np.array([len(x) for x in names], np.int64), ends)
+
+    def train(batches):
+        langs, texts = [], []
+        for batch in batches:
+            langs += batch.column("lang").to_pylist()
+            texts.append(batch.column("text"))
+        if langs:
+            languages, odds = fitted(langs, pa.concat_arrays(texts), hashes)
+            yield pa.RecordBatch.from_arrays([pa.array([languages]), pa.array([odds.tobytes()], pa.binary())], names=["languages", "odds"])
+
+    row = sample.repartition(1).mapInArrow(train, "languages array<string>, odds binary").first()
+    if row is None:
         return Model([], hashes, np.zeros((len(hashes) + 256, 0)))
+    return Model(list(row.languages), hashes, np.frombuffer(bytes(row.odds)).reshape(-1, len(row.languages)))
+
+
+def fitted(langs: list[str], column: pa.Array, hashes: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Languages and probabilities [piece or byte, language] by expectation maximisation over labelled texts."""
+    languages = sorted(set(langs), key=str.encode)
     number = {x: i for i, x in enumerate(languages)}
-    lang = np.array([number[x] for x in sample.column("lang").to_pylist()])
-    keys, langs, chunks = [], [], []
-    column = sample.column("text").combine_chunks()
+    lang = np.array([number[x] for x in langs])
+    keys, owners, chunks = [], [], []
     for low, high, data, offsets in text_slices(column):
         key, row, start, end = words(data, offsets, LETTERS, WORD_BYTES)
         keys.append(key)
-        langs.append(lang[low:high][row])
+        owners.append(lang[low:high][row])
         _, at = np.unique(key, return_index=True)
         chunks += [(k, data[a:b].tobytes()) for k, a, b in zip(key[at].tolist(), start[at], end[at], strict=True)]
     spelled = dict(chunks)
     unique, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     counts = np.zeros((len(unique), len(languages)))
-    np.add.at(counts, (inverse, np.concatenate(langs)), 1.0)
+    np.add.at(counts, (inverse, np.concatenate(owners)), 1.0)
     texts = [spelled[k] for k in unique.tolist()]
     ends = np.cumsum([len(x) for x in texts], dtype=np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
-    lattice = Lattice(data, ends - np.array([len(x) for x in texts], np.int64), ends, hashes, tables)
+    lattice = Lattice(data, ends - np.array([len(x) for x in texts], np.int64), ends, hashes, index(hashes))
     odds = np.full((len(hashes) + 256, len(languages)), 1.0 / (len(hashes) + 256))
     for _ in range(ROUNDS):
         odds = lattice.expected(odds, counts) + SMOOTHING
         odds /= odds.sum(axis=0)
-    return Model(languages, hashes, odds)
+    return languages, odds
 
 
 def forgotten(model: Model) -> dict:
