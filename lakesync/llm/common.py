@@ -86,7 +86,16 @@ def stream(n: int, seed: int) -> np.ndarray:
 BYTE_VALUES = stream(256, 1)
 SPREAD = stream(64, 2) | np.uint64(1)
 BASE = int(stream(1, 3)[0]) | 1
-_powers: dict[int, np.ndarray] = {}
+
+
+class Local(dict):
+    """A cache that stays in its process: it travels empty."""
+
+    def __reduce__(self):
+        return Local, ()
+
+
+_powers: dict[int, np.ndarray] = Local()
 
 
 def powers(base: int, n: int) -> np.ndarray:
