@@ -33,6 +33,8 @@ ROUNDS = 4
 SMOOTHING = 0.05
 # Keeps products of small probabilities in range; taken out again in the logarithm.
 SCALE = 32.0
+# Bytes of a word after which its sums are divided by the largest of them.
+STRIDE = 8
 # Scored words that a task remembers.
 REMEMBERED = 400_000
 SLOTS = 20
@@ -125,33 +127,60 @@ class Lattice:
         self.size, self.piece = size[order], piece[order]
         group = group[order]
         self.cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(group) else np.zeros(1, np.int64)
+        self.inner = (group[self.cuts[:-1]] // 16).astype(np.int64)
         self.first = begin[:-1] + np.arange(len(sizes))
         self.last = self.first + sizes
         self.sizes = sizes
 
-    def forward(self, odds: np.ndarray) -> np.ndarray:
-        """Summed products of the ways from a word's beginning to each node, for each language."""
+    def forward(self, odds: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Summed products of the ways from a word's beginning to each node, for each language, and what they were divided by.
+
+        Every STRIDE bytes the sums that are under way in a word are divided by their largest, so a word of any
+        pieces stays in range. The divisors are listed by stride as (words, divisor [word, language]).
+        """
         sums = np.zeros((int(self.last[-1]) + 1 if len(self.last) else 0, odds.shape[1]))
         sums[self.first] = 1.0
-        for a, b in zip(self.cuts[:-1], self.cuts[1:], strict=True):
+        divisors = []
+
+        def divide(upto: int) -> None:
+            while (len(divisors) + 1) * STRIDE <= upto:
+                at = (len(divisors) + 1) * STRIDE
+                long = np.flatnonzero(self.sizes >= at)
+                # An edge from before `at` ends less than PIECE_BYTES after it.
+                nodes = np.minimum(self.first[long, None] + at + np.arange(PIECE_BYTES), self.last[long, None])
+                under_way = sums[nodes]
+                largest = under_way.max(axis=1)
+                sums[nodes] = under_way / largest[:, None]
+                divisors.append((long, largest))
+
+        for a, b, inner in zip(self.cuts[:-1], self.cuts[1:], self.inner.tolist(), strict=True):
+            divide(inner)
             node, size = self.node[a:b], int(self.size[a])
             # Edges of one size from one place: no two end in the same node.
             sums[node + size] += sums[node] * (odds[self.piece[a:b]] * SCALE**size)
-        return sums
+        divide(int(self.sizes.max(initial=0)))
+        return sums, divisors
 
     def logs(self, odds: np.ndarray) -> np.ndarray:
         """log probability of each word in each language."""
-        return np.log(self.forward(odds)[self.last]) - self.sizes[:, None] * np.log(SCALE)
+        sums, divisors = self.forward(odds)
+        out = np.log(sums[self.last]) - self.sizes[:, None] * np.log(SCALE)
+        for long, largest in divisors:
+            out[long] += np.log(largest)
+        return out
 
     def expected(self, odds: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of every piece, over words that come `counts` [word, language] times."""
-        ahead = self.forward(odds)
+        ahead, divisors = self.forward(odds)
         behind = np.zeros_like(ahead)
-        behind[self.last] = counts / ahead[self.last]
+        behind[self.last] = np.divide(counts, ahead[self.last], out=np.zeros_like(counts), where=counts > 0)
         out = np.zeros_like(odds)
-        for a, b in reversed(list(zip(self.cuts[:-1], self.cuts[1:], strict=True))):
+        for a, b, inner in reversed(list(zip(self.cuts[:-1], self.cuts[1:], self.inner.tolist(), strict=True))):
             node, size, piece = self.node[a:b], int(self.size[a]), self.piece[a:b]
             step = odds[piece] * SCALE**size * behind[node + size]
+            # The sums ahead were divided once more at every stride that the edge crosses.
+            for long, largest in divisors[inner // STRIDE : (inner + size) // STRIDE]:
+                step /= largest[np.searchsorted(long, np.searchsorted(self.first, node, "right") - 1)]
             behind[node] += step
             used = step * ahead[node]
             for language in range(odds.shape[1]):

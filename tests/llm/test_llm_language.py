@@ -75,3 +75,31 @@ def test_edges(spark):
     assert language.document_languages(spark.createDataFrame([], SCHEMA)).collect() == []
     nothing = language.document_languages(documents(spark, ["the house"], lang=None)).collect()
     assert [(r.lang_pred, r.score) for r in nothing] == [("und", 0.0)]
+
+
+def test_long_words_that_a_language_has_not_seen(spark):
+    line = "─" * 30
+    for learned in (False, True):
+        rows = [(i, f"the house and the tree are here {i} " * 550 + f"\n{line}" * (learned and i == 1), "en", "s", 1) for i in range(80)]
+        rows += [(100 + i, f"das haus und der baum sind hier {i} " * 550, "de", "s", 1) for i in range(80)]
+        rows += [(200, f"the house and the tree\n{line}\nare here", None, "s", 0), (201, "das haus " + "я" * 200, None, "s", 0)]
+        assert zlib.crc32(b"1") % 5
+        got = {r.doc_id: r for r in language.document_languages(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert got[200].lang_pred == "en"
+        assert not learned or got[201].lang_pred == "de"
+        assert all(0 <= r.score <= 1 for r in got.values())
+        assert all(r.lang_pred == ("en" if i < 100 else "de") for i, r in got.items() if i < 200)
+
+
+def test_sums_of_long_words_stay_in_range():
+    names = [b" a", b"a", b"ab"]
+    data = np.frombuffer(b"".join(names), np.uint8)
+    ends = np.cumsum([len(x) for x in names])
+    hashes = language.hashed(data, ends - np.array([len(x) for x in names]), ends)
+    odds = np.full((len(hashes) + 256, 2), 1e-9)
+    texts = [b"z" * 64, b"ab" * 32]
+    ends = np.cumsum([len(x) for x in texts])
+    lattice = language.Lattice(np.frombuffer(b"".join(texts), np.uint8), ends - np.array([len(x) for x in texts]), ends, hashes, language.index(hashes))
+    assert np.allclose(lattice.logs(odds)[0], 65 * np.log(1e-9))
+    used = lattice.expected(odds, np.array([[3.0, 0.0], [0.0, 0.0]]))
+    assert np.allclose(used[len(hashes) + ord("z")], [192.0, 0.0]) and np.allclose(used.sum(axis=0), [195.0, 0.0])
