@@ -6,6 +6,8 @@ a keyed Feistel network over its numbers: equal values get equal pseudonyms in e
 different values different ones, and a card number or date stays a valid one. Separators and
 letter case stay. The permutation can be undone by who has the key (`permuted(..., undo=True)`).
 
+Where a match fails its validation or touches another value, what it holds between the borders of its
+groups is tried, longest first; of card numbers, those in the usual groups are tried before all others.
 Numbers that fail their validation are not personal data and stay. Rows: a null text stays
 null, an empty one empty; repeated rows are treated each; other columns pass through.
 """
@@ -181,36 +183,68 @@ class Format(NamedTuple):
     kind: str
     regex: str
     pseudonym: Callable[[str, bytes], str | None]
+    # Whether a match can hold others: the number of its groups varies.
+    parts: bool = False
 
 
 # In the order in which they are tried at a place.
 FORMATS = (
     Format("mail", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", mail),
-    Format("account", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", account),
+    Format("account", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", account, parts=True),
     Format("date", r"(?<![0-9./-])[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?![0-9/-]|\.[0-9])", dated("ymd")),
     Format("date", r"(?<![0-9./-])[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4}(?![0-9/-]|\.[0-9])", slashed),
     Format("host", r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])", host),
     Format("insurance", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", insurance),
-    Format("phone", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])", phone),
+    Format("phone", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])", phone, parts=True),
     Format("phone", r"(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])", phone),
-    Format("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", card),
+    Format("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", card, parts=True),
 )
 KINDS = tuple(dict.fromkeys(f.kind for f in FORMATS))
+# The usual groups of a card's digits.
+CARD_GROUPS = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
+
+
+def parts(form: Format, text: str, used: bytearray) -> list[tuple[int, int]]:
+    """Free stretches between group borders that the format matches, those to be tried first in front."""
+    regex = re.compile(form.regex)
+    out = []
+    m = regex.search(text)
+    while m:
+        a, b = m.span()
+        # Ends before a separator, where the match is not in the middle of a group.
+        out += [
+            (a, end)
+            for end in range(b, a, -1)
+            if (end == b or (text[end - 1].isalnum() and not text[end].isalnum()))
+            and not any(used[a:end])
+            and (end == b or regex.fullmatch(text, a, end))
+        ]
+        m = regex.search(text, a + 1)
+    return sorted(out, key=lambda x: (form.kind == "card" and not CARD_GROUPS.fullmatch(text, *x), x[0] - x[1], x[0]))
 
 
 def spans(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, pseudonym) in code points; the first format that holds a place has it."""
+    """(start, end, kind, pseudonym) in code points; the first format that holds a place has it, whole matches before parts."""
     taken: list[tuple[int, int, str, str]] = []
     used = bytearray(len(text) + 1)
+
+    def take(form: Format, a: int, b: int) -> bool:
+        new = None if any(used[a:b]) else form.pseudonym(text[a:b], key)
+        if new is not None:
+            taken.append((a, b, form.kind, new))
+            used[a:b] = b"\x01" * (b - a)
+        return new is not None
+
+    again = []
     for form in FORMATS:
-        for m in re.finditer(form.regex, text):
-            a, b = m.span()
-            if any(used[a:b]):
-                continue
-            new = form.pseudonym(m[0], key)
-            if new is not None:
-                taken.append((a, b, form.kind, new))
-                used[a:b] = b"\x01" * (b - a)
+        # A card's digits by themselves come before a longer number that is valid by chance.
+        left = [m for m in re.finditer(form.regex, text) if form.kind == "card" or not take(form, *m.span())]
+        if left and form.parts:
+            again.append(form)
+    # Cards before phones: a part of a phone number's form may hold the beginning of a card.
+    for form in sorted(again, key=lambda f: f.kind == "phone"):
+        for a, b in parts(form, text, used):
+            take(form, a, b)
     return sorted(taken)
 
 

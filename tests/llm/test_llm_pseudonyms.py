@@ -75,3 +75,17 @@ def test_frame(spark, sf_dir):
         assert r.text == text + before[r.doc_id][at:]
         for m in re.findall(r"[a-z]+\.[0-9]+@mail[0-9]\.example\.com", before[r.doc_id]):
             assert m not in r.text
+
+
+def test_values_beside_other_numbers():
+    number = "4111 1111 1111 1111"
+    beside = [f"{number} 12/27", f"order 12 {number}", "4111111111111111 123", f"2024-01-05 {number}", f"1234 5678 {number} 12", f"+44 {number}", f"7 {number} 8 {number} 9"]
+    for text in beside:
+        held = [text[a:b] for a, b, kind, _ in P.spans(text, KEY) if kind == "card"]
+        assert held == [number if " 1111" in text else number.replace(" ", "")] * text.count("4111"), text
+    account = "ES91 2100 0418 4502 0005 1332"
+    for text in (f"{account} EUR", f"AB12 {account}", f"{account} EURO 12 {account} DUE"):
+        assert [text[a:b] for a, b, kind, _ in P.spans(text, KEY) if kind == "account"] == [account] * text.count("ES91"), text
+    assert "date" in replaced(f"2024-01-05 {number}")
+    text = "+1 212 555 1234 2024-01-05"
+    assert [(kind, text[a:b]) for a, b, kind, _ in P.spans(text, KEY)] == [("phone", "+1 212 555 1234"), ("date", "2024-01-05")]
