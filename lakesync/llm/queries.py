@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesync.llm import decontaminate, html_text, jaccard, language, mixing, passages, pseudonyms, quality_rules, secrets, toxicity
+from lakesync.llm import (
+    decontaminate,
+    filter_audit,
+    html_text,
+    jaccard,
+    language,
+    mixing,
+    passages,
+    pseudonyms,
+    quality_rules,
+    secrets,
+    simhash,
+    toxicity,
+)
 from lakesync.llm.common import table
 
 
@@ -49,6 +62,14 @@ def op10_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.document_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_audit_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_simhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -62,6 +83,8 @@ QUERIES = {
         op8_score_toxicity,
         op9_repeated_passages,
         op10_identify_language,
+        op11_audit_filters,
+        op13_simhash_join,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_audit_filters": filter_audit.AUDIT_SQL}
