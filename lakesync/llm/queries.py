@@ -12,6 +12,7 @@ from lakesync.llm import (
     language,
     mixing,
     passages,
+    prefix_trie,
     pseudonyms,
     quality_rules,
     secrets,
@@ -66,6 +67,10 @@ def op11_audit_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.document_components(table(spark, sf_dir, "documents"))
 
@@ -84,7 +89,8 @@ QUERIES = {
         op9_repeated_passages,
         op10_identify_language,
         op11_audit_filters,
+        op12_prefix_trie,
         op13_simhash_join,
     )
 }
-ORACLE: dict[str, str] = {"op11_audit_filters": filter_audit.AUDIT_SQL}
+ORACLE: dict[str, str] = {"op11_audit_filters": filter_audit.AUDIT_SQL, "op12_prefix_trie": prefix_trie.TRIE_SQL}
