@@ -12,11 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from lakesync import schemas as S
 from lakesync.operators import ddl, decode, fold, quality
 from lakesync.operators.routes import check_routes
-from lakesync.operators.typed import sync_time
+from lakesync.operators.typed import rejected, sync_time
 from lakesync.plans import sync
 from lakesync.session import bounded_broadcast, checkpointed
 from lakesync.sinks import queue
 from lakesync.sinks.store import StateStore
+from lakesync.sinks.typed import TypedTable
 from lakesync.sources import catalog
 
 # Fixed value: default commit cadence.
@@ -35,7 +36,8 @@ class SyncJob:
     `allow` names route problems to accept (see routes.route_collisions); with
     "several_instances" the instance becomes part of the keys of sharded lake targets.
     `logs` orders the logs of an instance that has had several (see decode.continued);
-    without it, a second log of an instance stops the job.
+    without it, a second log of an instance stops the job. `typed` names targets that are
+    kept as typed tables too (see TypedTable); each is merged by a job of its own.
     """
 
     routes: DataFrame
@@ -49,6 +51,7 @@ class SyncJob:
     write_messages: Callable[[DataFrame, str], None] = queue.write_files
     allow: Sequence[str] = ()
     logs: DataFrame | None = None
+    typed: Sequence[TypedTable] = ()
     seen_logs: dict[str, str] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
@@ -63,6 +66,8 @@ class SyncJob:
         self.routes = bounded_broadcast(self.routes)
         if self.logs is not None:
             self.logs = checkpointed(self.logs)
+        for target in self.typed:
+            target.create()
 
     def check_logs(self, changes: DataFrame) -> None:
         """Without `logs`, an instance has one log; a row per instance comes to the driver."""
@@ -96,9 +101,23 @@ class SyncJob:
                 rows = quality.without_deletes(rows)
             stamp = self.f_ts if self.f_ts is not None else sync_time()
             StateStore(batch.sparkSession, self.root).write_batch(batch_id, sync.states(rows, stamp), query)
+            self.merge_typed(rows, stamp, batch_id)
         finally:
             targeted.unpersist()
 
+    def merge_typed(self, rows: DataFrame, stamp: Column | int, batch_id: int) -> None:
+        """Bring the typed targets up to the batch; rows that do not fit go to the quarantine of typed rows."""
+        for target in self.typed:
+            named = (F.col("dst_db") == target.db) & (F.col("dst_table") == target.table)
+            own = rows.where(named & (F.col("op") != S.DDL))
+            bad = rejected(own, target.columns, lineage=target.lineage)
+            bad.write.mode("overwrite").parquet(f"{self.root}/quarantine_typed/{target.db}.{target.table}/batch_id={batch_id}")
+            states = target.states(own, stamp).persist()
+            try:
+                target.merge(states)
+            finally:
+                states.unpersist()
+
     def start(
         self, envelopes: DataFrame, checkpoint: str, *, interval: str | None = COMMIT_INTERVAL
     ) -> StreamingQuery:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from lakesync import schemas as S
 from lakesync.operators import fold, quality
-from lakesync.plans import sync
-from lakesync.session import run_dir
+from lakesync.plans import layers, sync
+from lakesync.session import checkpointed, run_dir
 from lakesync.sinks.store import StateStore
+from lakesync.sinks.typed import TypedTable
 from lakesync.sources import envelopes
 from lakesync.streaming import state
 from lakesync.streaming.sync import SyncJob
@@ -88,7 +92,39 @@ def stream_state_current(spark, sf_dir):
     return E.event_result(fold.current(states, ["id"], fold.LAKE))
 
 
+def typed_target(spark, root, **options):
+    return TypedTable(spark, f"typed_{uuid.uuid4().hex}", "t_event", E.EVENT_COLUMNS, lineage=True, location=f"{root}/typed", **options)
+
+
+def stream_lake_typed(spark, sf_dir):
+    """Lake job in three micro-batches into a typed table in buckets, the first batch replayed at the end."""
+    root = run_dir(spark, "stream")
+    target = typed_target(spark, root, buckets=16)
+    rules = [replace(E.SHOP_RULES[0], target=target.db)]
+    land(spark, sf_dir, f"{root}/landing", 3)
+    job = SyncJob(E.keyed_routes(spark, sf_dir, rules), f"{root}/store", f_ts=1_700_000_000_000, typed=[target])
+    docs = envelopes.stream_envelopes(spark, f"{root}/landing", maxFilesPerTrigger="1")
+    job.start(docs, f"{root}/checkpoint", interval=None).awaitTermination()
+    job.process(envelopes.read_envelopes(spark, f"{root}/landing"), 99)
+    return E.event_result(target.current(), S.DB_NAME, S.TABLE_NAME, S.SYNC_TS)
+
+
+def typed_increment(spark, sf_dir):
+    """A downstream table from two increments of a typed table, whose filter on the sync time reaches the files."""
+    target = typed_target(spark, run_dir(spark, "typed"), buckets=8)
+    target.create()
+    routed = sync.routed_changes(E.feed(spark, sf_dir), E.keyed_routes(spark, sf_dir))
+    early = ~F.col("incremental") | (F.col("pos") < 500)
+    target.merge(target.states(routed.where(early), 1))
+    dwd = checkpointed(target.current().drop(S.SYNC_TS))
+    target.merge(target.states(routed.where(~early), 2))
+    ods = target.current(since=1).withColumn(S.IS_DEL, F.lit(0))
+    return E.event_result(layers.clean_apply(dwd, ods, target.keys, gone=target.deleted(since=1)), S.DB_NAME, S.TABLE_NAME)
+
+
 QUERIES = {
+    "stream_lake_typed": stream_lake_typed,
+    "typed_increment": typed_increment,
     "stream_lake_current": stream_lake_current,
     "stream_migration_current": stream_migration_current,
     "stream_messages": stream_messages,
@@ -97,6 +133,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "stream_lake_typed": LAKE_WITH_LINEAGE,
+    "typed_increment": f"WITH {E.lake_sql()} SELECT db AS db_name, tbl AS table_name, {RESULT} FROM cur",
     "stream_lake_current": LAKE_WITH_LINEAGE,
     "stream_migration_current": f"WITH {E.migration_sql()} SELECT {RESULT} FROM cur",
     "stream_messages": f"""WITH {E.E_SQL} SELECT 'flink.test.shop_db.t_event' AS topic, CAST(op AS BIGINT) AS op,
