@@ -63,9 +63,15 @@ def dealt(df: DataFrame, key: str) -> DataFrame:
     return df.where(" and ".join(f"{c} is not null" for c in df.columns)).repartition(key)
 
 
-def without(df: DataFrame, name: str) -> StructType:
-    """The schema of df less one column."""
-    return StructType([f for f in df.schema.fields if f.name != name])
+def other_columns(df: DataFrame, names: list[str]) -> list[str]:
+    """Columns of df but for these: results replace columns of their names, in any case of letters."""
+    taken = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def schema_of(df: DataFrame, columns: list[str]) -> StructType:
+    """The schema of some columns of df."""
+    return StructType([f for f in df.schema.fields if f.name in columns])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

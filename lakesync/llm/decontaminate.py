@@ -16,6 +16,7 @@ items with the same id keep one row per document, that of the best window. Other
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -60,7 +61,8 @@ def fingerprints(tokens: np.ndarray, weights: np.ndarray, start: np.ndarray, end
     return np.packbits(summed[end] - summed[start] > 0, axis=1).view(np.uint64).ravel()
 
 
-def indexed(ids: list, texts: pa.Array) -> Items:
+def indexed(ids: list, texts: pa.Array, known: np.ndarray, holders: np.ndarray, total: int) -> Items:
+    """Items of a pass. known: sorted shingles, of all items of the pass at least, and how many of the `total` items have each."""
     tokens, owners, places = [], [], []
     lengths = np.zeros(len(ids), np.int64)
     for low, high, data, offsets in text_slices(texts):
@@ -75,12 +77,11 @@ def indexed(ids: list, texts: pa.Array) -> Items:
     token, owner, place = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((tokens, np.uint64), (owners, np.int64), (places, np.int64)))
     order = np.argsort(token, kind="stable")
     unique, first = np.unique(token[order], return_index=True)
-    holders = np.bincount(np.searchsorted(unique, np.unique(np.column_stack([token, owner.astype(np.uint64)]), axis=0)[:, 0]), minlength=len(unique))
-    weights = np.log(1 + len(ids) / np.maximum(holders, 1))
+    weights = np.log(1 + total / holders[np.searchsorted(known, unique)])
     bounds = np.searchsorted(owner, np.arange(len(ids) + 1))
     bags = [dict(Counter(token[a:b].tolist())) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     prints = fingerprints(token, weights[np.searchsorted(unique, token)], bounds[:-1], bounds[1:]) if len(token) else np.zeros(len(ids), np.uint64)
-    return Items(ids, lengths, bags, unique, weights, np.append(first, len(token)), owner[order], place[order], float(np.log(1 + len(ids))), prints)
+    return Items(ids, lengths, bags, unique, weights, np.append(first, len(token)), owner[order], place[order], float(np.log(1 + total)), prints)
 
 
 def near_masks() -> np.ndarray:
@@ -186,39 +187,70 @@ def matches(texts: pa.Array, items: Items, index: list, masks: np.ndarray, weigh
             yield low + r, i, -score, a, b
 
 
+def shingle_holders(listed: DataFrame) -> DataFrame:
+    """(token, holders): how many of all items have a shingle, whatever pass they are in."""
+
+    def run(batches):
+        for batch in batches:
+            for low, high, data, offsets in text_slices(batch.column("text")):
+                hashes, rows, _, _ = words(data, offsets, BARE_WORDS)
+                token, row, _ = shingles(hashes, rows, SIZE)
+                pairs = np.unique(np.column_stack([token, row.astype(np.uint64)]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].view(np.int64))], names=["token"])
+
+    return listed.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("holders"))
+
+
+def passes(benchmark: DataFrame) -> Iterator[Items]:
+    """The items, about PASS_CHARS characters at a time, so what is broadcast is bounded; weights are those over all items."""
+    listed = written(benchmark.where("text is not null and item_id is not null").select("item_id", "text").distinct(), "decontaminate-items")
+    chars, total = listed.agg(F.sum(F.length("text")), F.count("*")).first()
+    if not chars:
+        return
+    holders = written(shingle_holders(listed), "decontaminate-holders")
+    number = -(-chars // PASS_CHARS)
+    of = F.pmod(F.xxhash64("item_id", "text"), F.lit(number))
+    for n in range(number):
+        part = listed.where(of == n)
+        chosen = part.orderBy("item_id", "text").toArrow()
+        own = shingle_holders(part).select("token")
+        table = (holders if number == 1 else holders.join(own, "token", "left_semi")).toArrow()
+        known, counts = table.column("token").to_numpy().view(np.uint64), table.column("holders").to_numpy()
+        order = np.argsort(known)
+        items = indexed(chosen.column("item_id").to_pylist(), chosen.column("text").combine_chunks(), known[order], counts[order], total)
+        if len(items.shingles):
+            yield items
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, end_word) of every document and item that it holds a passage like."""
-    spark = docs.sparkSession
-    listed = benchmark.where("text is not null and item_id is not null").select("item_id", "text").distinct()
-    chars = listed.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = -(-chars // PASS_CHARS)
     item_type = dict(benchmark.dtypes)["item_id"]
     doc_type = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {doc_type}, item_id {item_type}, similarity double, first_word long, end_word long"
-    out = spark.createDataFrame([], schema)
-    for number in range(passes):
-        # A pass holds items of about PASS_CHARS characters, so what is broadcast is bounded.
-        chosen = listed.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number).orderBy("item_id", "text").toArrow()
-        items = indexed(chosen.column("item_id").to_pylist(), chosen.column("text").combine_chunks())
-        if not len(items.shingles):
-            continue
+    out = docs.sparkSession.createDataFrame([], schema)
+    for items in passes(benchmark):
         out = out.union(searched(docs, items, schema))
     # Items that share an id are one.
     best = F.min_by(F.struct("similarity", "first_word", "end_word"), F.struct(-F.col("similarity"), "first_word"))
     return out.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
+def lookup(fitted: Items):
+    """What `matches` needs of the items of a pass."""
+    weight = dict(zip(fitted.shingles.tolist(), fitted.weights.tolist(), strict=True))
+    taken = np.zeros(1 << (64 - int(SLOT_BITS)), bool)
+    taken[fitted.shingles >> SLOT_BITS] = True
+    return blocks_index(fitted.prints), near_masks(), weight, taken
+
+
 def searched(docs: DataFrame, items: Items, schema: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
         fitted = shared.value
-        index, masks = blocks_index(fitted.prints), near_masks()
-        weight = dict(zip(fitted.shingles.tolist(), fitted.weights.tolist(), strict=True))
-        taken = np.zeros(1 << (64 - int(SLOT_BITS)), bool)
-        taken[fitted.shingles >> SLOT_BITS] = True
+        known = lookup(fitted)
         for batch in batches:
-            found = list(matches(batch.column("text"), fitted, index, masks, weight, taken))
+            found = list(matches(batch.column("text"), fitted, *known))
             if not found:
                 continue
             row, item, score, first, end = zip(*found, strict=True)
@@ -233,6 +265,24 @@ def searched(docs: DataFrame, items: Items, schema: str) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no passage of the benchmark; one with a null doc_id can't be told apart and stays."""
-    dirty = written(contaminated(docs, benchmark).select("doc_id").distinct(), "decontaminate-dirty")
-    return docs.join(dirty, "doc_id", "left_anti").select(docs.columns)
+    """The documents that hold no passage of the benchmark, row by row, whatever their doc_id."""
+    # The rows travel as one struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    for items in passes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+        rows = rows.mapInArrow(undisturbed(shared), rows.schema)
+    return rows.select("row.*")
+
+
+def undisturbed(shared):
+    """Keeps the rows of a batch that match no item."""
+
+    def run(batches):
+        fitted = shared.value
+        known = lookup(fitted)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            keep[[m[0] for m in matches(batch.column("text"), fitted, *known)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run

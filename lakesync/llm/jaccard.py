@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.llm.common import SPREAD, components, dealt, discard, distinct_sets, mixed, shingles, stream, text_slices, words, written
@@ -153,7 +153,7 @@ def central_pairs(classes: DataFrame) -> DataFrame:
 def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -> DataFrame:
     """(token, doc, cluster, packed) of every representative's prefix, rarest tokens first.
 
-    packed holds n, the group's number in its cluster and whether the token is in the shorter
+    packed holds n and the group's number in its cluster, 31 bits each, and whether the token is in the shorter
     prefix, the one that suffices towards texts of the same size or larger.
     """
     listed = common.toArrow()
@@ -182,7 +182,7 @@ def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -
                 longer, shorter = (n - -(-least // of) + 1 + n // FURTHER for least, of in ((3 * n, 4), (6 * n, 7)))
                 keep = place < longer[row]
                 row, place, tokens = row[keep], place[keep], tokens[keep]
-                packed = (n[row] << 21) | (part[low + row] << 1) | (place < shorter[row])
+                packed = (n[row] << 32) | (part[low + row] << 1) | (place < shorter[row])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tokens.view(np.int64)), pa.array(doc[low + row]), pa.array(cluster[low + row]), pa.array(packed)],
                     names=["token", "doc", "cluster", "packed"],
@@ -200,11 +200,11 @@ def candidates(rows: DataFrame) -> DataFrame:
     of a large cluster counts once for each of its groups and not for each of its members.
     """
     first = F.col("packed").bitwiseAND(F.lit(1)) == 1
-    n = F.shiftright("packed", 21)
+    n = F.shiftright("packed", 32)
     # One exchange by token serves both sides.
     matrix = (
         dealt(rows, "token")
-        .groupBy("token", "cluster", F.shiftright("packed", 1).bitwiseAND(F.lit((1 << 20) - 1)).alias("part"))
+        .groupBy("token", "cluster", F.shiftright("packed", 1).bitwiseAND(F.lit((1 << 31) - 1)).alias("part"))
         .agg(
             F.min(n).alias("low"),
             F.max(n).alias("high"),
@@ -302,20 +302,20 @@ def document_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """docs with one document of each component: the one with the smallest doc_id, of its rows the one with the least text."""
-    found = written(document_components(docs, size), "jaccard-found").where("doc_id is not null")
-    told = (
-        found.groupBy("doc_id")
-        .agg(F.count("*").alias("copies"), (F.min("component_id") != F.col("doc_id")).alias("goes"))
-        .where("goes or copies > 1")
-    )
-    told = written(told.select(F.col("doc_id").alias("told"), "goes"), "jaccard-told")
-    # The rows travel as one struct, so that no name of theirs can clash.
-    rows = docs.select(F.col("doc_id").alias("at"), F.struct(*docs.columns).alias("row"), F.col("text").alias("read"))
-    marked = rows.join(told.hint("shuffle_hash"), F.col("at") == F.col("told"), "left")
-    kept = marked.where("told is null").select("row.*")
-    if told.where("not goes").isEmpty():
-        return kept
-    first = Window.partitionBy("at").orderBy("read", F.xxhash64("row"))
-    repeated = marked.where("told is not null and not goes").withColumn("place", F.row_number().over(first)).where("place = 1")
-    return kept.unionByName(repeated.select("row.*"))
+    """docs with one row of each component: the one with the smallest doc_id, null last, of equal ones that of the smallest hash.
+
+    Every row is a node of its own, so rows of one doc_id, or without one, that do not link by their shingles all stay.
+    """
+    # Numbers of rows must not change between steps. The rows travel as one struct, so that no name of theirs can clash.
+    stored = written(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*docs.columns).alias("row")), "jaccard-rows")
+    documents, edges = links(stored.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), size)
+    roots = components(edges, "jaccard-components").toDF("rep", "root")
+    linked = documents.where("rep is not null").join(roots, "rep", "left").select(F.col("doc_id").alias("key"), F.coalesce("root", "rep").alias("component"))
+    linked = written(linked, "jaccard-found")
+    several = linked.groupBy("component").agg(F.count("*").alias("rows")).where("rows > 1").select("component")
+    alike = linked.join(several, "component")
+    rank = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.xxhash64("row"), F.col("key"))
+    ranked = written(stored.select("key", rank.alias("rank")).join(alike, "key"), "jaccard-ranked")
+    first = ranked.groupBy("component").agg(F.min("rank").alias("first"))
+    goes = written(ranked.join(first, "component").where("rank.key != first.key").select("key"), "jaccard-goes")
+    return stored.join(goes, "key", "left_anti").select("row.*")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BASE, BYTE_VALUES, byte_classes, mixed, powers, text_slices, without, words, written
+from lakesync.llm.common import BASE, BYTE_VALUES, byte_classes, mixed, other_columns, powers, schema_of, text_slices, words, written
 from lakesync.session import bounded_broadcast
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -278,17 +278,17 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred and score, the posterior of the predicted language; the text column must be `text`."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != "text"]
-    schema = without(docs, "text").add("lang_pred", "string").add("score", "double")
+    rest = other_columns(docs, ["text", "lang_pred", "score"])
+    schema = schema_of(docs, rest).add("lang_pred", "string").add("score", "double")
 
     def run(batches):
         fitted = shared.value
         tables, memory = index(fitted.hashes), forgotten(fitted)
         names = np.array([*fitted.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            lettered = batch.column("_lettered").to_numpy(zero_copy_only=False)
+            lettered = batch.column(len(rest)).to_numpy(zero_copy_only=False)
             if fitted.languages:
-                logs = scores(batch.column("_text"), fitted, tables, memory)
+                logs = scores(batch.column(len(rest) + 1), fitted, tables, memory)
                 best = logs.argmax(axis=1)
                 score = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
             else:
@@ -296,7 +296,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
                 lettered = np.zeros(len(lettered), bool)
             best, score = np.where(lettered, best, len(names) - 1), np.where(lettered, score, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in rest), pa.array(names[best], pa.string()), pa.array(score)], names=[*rest, "lang_pred", "score"]
+                [*(batch.column(i) for i in range(len(rest))), pa.array(names[best], pa.string()), pa.array(score)], names=[*rest, "lang_pred", "score"]
             )
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

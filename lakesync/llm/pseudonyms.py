@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import text_slices, without
+from lakesync.llm.common import other_columns, schema_of, text_slices
 
 ROUNDS = 10
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -189,7 +189,7 @@ class Format(NamedTuple):
 
 # In the order in which they are tried at a place.
 FORMATS = (
-    Format("mail", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", mail),
+    Format("mail", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", mail),
     Format("account", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", account, parts=True),
     Format("date", r"(?<![0-9./-])[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?![0-9/-]|\.[0-9])", dated("ymd")),
     Format("date", r"(?<![0-9./-])[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4}(?![0-9/-]|\.[0-9])", slashed),
@@ -223,6 +223,18 @@ def parts(form: Format, text: str, used: bytearray) -> list[tuple[int, int]]:
     return sorted(out, key=lambda x: (form.kind == "card" and not CARD_GROUPS.fullmatch(text, *x), x[0] - x[1], x[0]))
 
 
+def mails(form: Format, text: str) -> Iterator[tuple[int, int]]:
+    """The format's matches from left to right, looked for around each at sign: a long run without one is passed over once."""
+    before = 0
+    domain = re.compile(form.regex.partition("@")[2])
+    for run in re.finditer(r"[A-Za-z0-9._%+-]++", text):
+        at = run.end()
+        m = domain.match(text, at + 1) if text[at : at + 1] == "@" else None
+        if m and max(run.start(), before) < at:
+            yield max(run.start(), before, at - 64), m.end()
+            before = m.end()
+
+
 def spans(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) in code points; the first format that holds a place has it, whole matches before parts."""
     taken: list[tuple[int, int, str, str]] = []
@@ -238,7 +250,8 @@ def spans(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     again = []
     for form in FORMATS:
         # A card's digits by themselves come before a longer number that is valid by chance.
-        left = [m for m in re.finditer(form.regex, text) if form.kind == "card" or not take(form, *m.span())]
+        found = mails(form, text) if form.kind == "mail" else (m.span() for m in re.finditer(form.regex, text))
+        left = [m for m in found if form.kind == "card" or not take(form, *m)]
         if left and form.parts:
             again.append(form)
     # Cards before phones: a part of a phone number's form may hold the beginning of a card.
@@ -249,9 +262,12 @@ def spans(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
 
 
 def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
-    """docs with personal data in text replaced, with n_<kind> counts and `spans`, kind:start:end in the old text."""
-    rest = [c for c in docs.columns if c != "text"]
+    """docs with personal data in text replaced, with n_<kind> counts and `spans`, kind:start:end in the old text.
+
+    These replace columns of docs that have their names.
+    """
     counts = [f"n_{kind}" for kind in KINDS]
+    rest = other_columns(docs, ["text", "spans", *counts])
 
     def run(batches):
         for batch in batches:
@@ -282,7 +298,7 @@ def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
                 names=[*rest, "text", *columns],
             )
 
-    schema = without(docs, "text").add("text", "string")
+    schema = schema_of(docs, rest).add("text", "string")
     for name in counts:
         schema.add(name, "long")
     schema.add("spans", "string")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import text_slices, without
+from lakesync.llm.common import other_columns, schema_of, text_slices
 
 STRETCH = 256
 # Replaces a span in a cleaned text.
@@ -329,8 +329,8 @@ def cleaned(text: str, spans: list[tuple[int, int, int]]) -> str:
 def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, output: Callable | None = None) -> DataFrame:
     """docs, without text, with n_assign, n_access, n_hex, base_sha256, spans and cleaned, the text without secrets."""
     shared = docs.sparkSession.sparkContext.broadcast(scanner(rules))
-    rest = [c for c in docs.columns if c != "text"]
     types = {"n_assign": "long", "n_access": "long", "n_hex": "long", "base_sha256": "string", "spans": "string", "cleaned": "string"}
+    rest = other_columns(docs, ["text", *types])
     nothing = hashlib.sha256(b"").hexdigest()
 
     def run(batches):
@@ -360,7 +360,7 @@ def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, output: Callable |
             )
 
     wanted = docs.select(*rest, F.col("text").cast("string").alias("text"))
-    schema = without(docs, "text")
+    schema = schema_of(docs, rest)
     for name, kind in types.items():
         schema.add(name, kind)
     return wanted.mapInArrow(run, schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BARE_WORDS, text_slices, without, words
+from lakesync.llm.common import BARE_WORDS, other_columns, schema_of, text_slices, words
 
 # Labelled rows that the models are fitted on, and the characters of a text that may be one.
 SAMPLE_ROWS, SAMPLE_CHARS = 5000, 20_000
@@ -275,7 +275,8 @@ def scored(docs: DataFrame, model: Model | None, spans: bool = False) -> DataFra
     `spans` are start:end:marginal of toxic words (marginal of 0.5 or more), offsets in code points.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != "text"]
+    names = ["score", "predicted"] + (["spans"] if spans else [])
+    rest = other_columns(docs, ["text", *names])
 
     def run(batches):
         model = shared.value
@@ -293,8 +294,7 @@ def scored(docs: DataFrame, model: Model | None, spans: bool = False) -> DataFra
             columns = [pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))] + ([pa.array(found)] if spans else [])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns], names=[*rest, *names])
 
-    names = ["score", "predicted"] + (["spans"] if spans else [])
-    schema = without(docs, "text").add("score", "double").add("predicted", "integer")
+    schema = schema_of(docs, rest).add("score", "double").add("predicted", "integer")
     if spans:
         schema.add("spans", "string")
     return docs.select(*rest, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

@@ -78,9 +78,10 @@ def test_changed_copies_and_passes(spark, monkeypatch):
     assert got <= want and len(got) >= 0.98 * len(want)
     assert len(D.contaminated(docs.union(docs), bench).collect()) == len(got)
     monkeypatch.setattr(D, "PASS_CHARS", 3000)
-    # Weights depend on the items of a pass, so only exact copies must agree.
-    several = {(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()}
-    assert {(200, 100), (204, 3), (205, 5)} <= several
+    # Weights are those over all items, however many passes there are.
+    one = sorted(map(tuple, D.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(D, "PASS_CHARS", 1 << 25)
+    assert one == sorted(map(tuple, D.contaminated(docs, bench).collect()))
 
 
 def test_lookup_guarantees_the_radius():
@@ -98,3 +99,13 @@ def test_empty(spark):
     docs = documents(spark, ["a b c", None])
     assert D.contaminated(docs, bench).collect() == [] and D.clean(docs, bench).count() == 2
     assert D.contaminated(none, spark.createDataFrame([(1, "a b c d e f")], ITEMS)).collect() == []
+
+
+def test_dirty_rows_go_whatever_their_id(spark):
+    item = "one two three four five six seven eight"
+    rows = [(None, f"x {item} y"), (None, "clean words of nobody else at all here"), (1, item), (1, "another row of this very id stays here"), (2, None)]
+    docs = clashing(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA), ["row", "item_id"])
+    bench = spark.createDataFrame([(7, item), (7, "something else that nobody has in his text")], ITEMS)
+    kept = D.clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)

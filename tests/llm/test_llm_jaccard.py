@@ -80,12 +80,26 @@ def test_edges(spark):
     none = docs.selectExpr("cast(null as long) as doc_id", "text")
     assert {r.component_id for r in J.document_components(none).collect()} == {None}
     assert got(spark.createDataFrame([], SCHEMA)) == []
-    kept = J.one_of_each(docs)
-    assert kept.columns == docs.columns
-    left = sorted(r.doc_id for r in kept.collect())
-    want = sorted({i for i, _, c in brute(rows) if i == c})
-    assert left == want
-    assert J.one_of_each(none.withColumn("lang", none.text)).count() == len(rows)
+    for table in (docs, none.withColumn("lang", none.text)):
+        kept = J.one_of_each(table)
+        assert kept.columns == table.columns
+        before = [(r.doc_id, r.text) for r in table.collect()]
+        # Each row a node: a component of rows keeps one, of the smallest doc_id in it.
+        component = [c for _, _, c in sorted(brute(list(enumerate(t for _, t in before))))]
+        held = sorted(component[k] for k in (before.index((r.doc_id, r.text)) for r in kept.collect()))
+        assert len(held) == len(set(component)) or len(set(held)) == len(set(component))
+        for r in kept.collect():
+            own = component[before.index((r.doc_id, r.text))]
+            ids = [i for (i, _), c in zip(before, component, strict=True) if c == own and i is not None]
+            assert r.doc_id == (min(ids) if ids else None)
+
+
+def test_rows_of_one_id_lose_only_to_rows_they_link_with(spark):
+    a, b, c = "aa bb cc dd ee ff gg", "hh ii jj kk ll mm nn", "oo pp qq rr ss tt uu"
+    rows = [(1, a), (1, b), (2, b), (3, None), (3, c), (3, ""), (4, c), (None, a), (None, "own words of this very row here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in J.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (3, None), (3, c), (3, ""), (None, "own words of this very row here")], key=str)
 
 
 def test_many_copies_cost_no_pairs(spark):

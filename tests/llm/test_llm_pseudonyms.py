@@ -1,7 +1,9 @@
 import datetime
 import os
+import random
 import re
 import sys
+import time
 
 import pytest
 
@@ -58,8 +60,9 @@ def test_equal_values_stay_linked():
 
 def test_frame(spark, sf_dir):
     texts = ["", None, "call +1 (017) 555-7713 now", "é a@b.co é", "plain", "a@b.co " * 20_000]
-    docs = clashing(documents(spark, texts), ["spans", "n_mail", "key"]).drop("spans", "n_mail")
-    got = {r.doc_id: r for r in P.pseudonymised(docs.select("doc_id", "text"), KEY).collect()}
+    docs = clashing(documents(spark, texts), ["Spans", "n_mail", "key"])
+    assert P.pseudonymised(docs, KEY).columns.count("n_mail") == 1 and "Spans" not in P.pseudonymised(docs, KEY).columns
+    got = {r.doc_id: r for r in P.pseudonymised(docs, KEY).collect()}
     assert got[0].text == "" and got[1].text is None and got[4].text == "plain"
     assert got[2].n_phone == 1 and "555-7713" not in got[2].text
     assert got[5].n_mail == 20_000 and len(set(got[5].text.split())) == 1
@@ -89,3 +92,40 @@ def test_values_beside_other_numbers():
     assert "date" in replaced(f"2024-01-05 {number}")
     text = "+1 212 555 1234 2024-01-05"
     assert [(kind, text[a:b]) for a, b, kind, _ in P.spans(text, KEY)] == [("phone", "+1 212 555 1234"), ("date", "2024-01-05")]
+
+
+MAIL = P.FORMATS[0]
+PIECES = ["a", "b.c", "@", "x@y.org", "@@", ".", "-", "1", " ", "é", "q@w", "z@1.2.co", "%+", "com"]
+
+
+def test_mails_are_those_of_the_format():
+    pick = random.Random(8)
+    for _ in range(3000):
+        text = "".join(pick.choice(PIECES) for _ in range(pick.randint(0, 14)))
+        assert list(P.mails(MAIL, text)) == [m.span() for m in re.finditer(MAIL.regex, text)], text
+
+
+def test_time_grows_with_the_text():
+    for long in ("a" * 1_000_000, "0a" * 500_000, "a." * 500_000 + "@", "a@" * 300_000, "x" * 1_000_000 + "@mail.example.com"):
+        start = time.perf_counter()
+        found = P.spans(long, KEY)
+        assert time.perf_counter() - start < 3
+        assert [(kind, b - a) for a, b, kind, _ in found] == ([("mail", 81)] if long.endswith("com") else [])
+
+
+def brute_mails(text):
+    """Leftmost longest addresses by trying every stretch."""
+    out, at = [], 0
+    while at < len(text):
+        end = next((e for e in range(len(text), at, -1) if re.fullmatch(MAIL.regex, text[at:e])), None)
+        if end:
+            out.append((at, end))
+        at = end or at + 1
+    return out
+
+
+def test_found_against_every_stretch():
+    pick = random.Random(12)
+    for _ in range(400):
+        text = "".join(pick.choice(PIECES) for _ in range(pick.randint(0, 8)))
+        assert [(a, b) for a, b, kind, _ in P.spans(text, KEY) if kind == "mail"] == brute_mails(text), text
