@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -55,6 +57,17 @@ def discard(stored: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class sent:
+    """A value for all tasks, pickled with its classes, so that a worker needs no copy of the package."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.pickled = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self.pickled.value)
+
+
 def dealt(df: DataFrame, key: str) -> DataFrame:
     """A stored table dealt out by a key, so that joins and groups by the key in one query share the exchange.
 

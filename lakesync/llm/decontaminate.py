@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BARE_WORDS, shingles, text_slices, words, written
+from lakesync.llm.common import BARE_WORDS, sent, shingles, text_slices, words, written
 
 SIZE = 5
 THRESHOLD = 0.75
@@ -244,7 +244,7 @@ def lookup(fitted: Items):
 
 
 def searched(docs: DataFrame, items: Items, schema: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = sent(docs.sparkSession, items)
 
     def run(batches):
         fitted = shared.value
@@ -269,7 +269,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # The rows travel as one struct, so that no name of theirs can clash.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
     for items in passes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+        shared = sent(docs.sparkSession, items)
         rows = rows.mapInArrow(undisturbed(shared), rows.schema)
     return rows.select("row.*")
 

@@ -16,17 +16,24 @@ each; broken markup is read as far as it goes; other columns are ignored.
 from __future__ import annotations
 
 import html
+import pickle
 import random
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesync.llm.common import sent
+
 # Labelled pages that the model is fitted on, gradient steps, their rate and the decay of weights.
 PAGES, STEPS, RATE, DECAY = 900, 200, 0.15, 5e-4
+# Share of labelled pages of bare text.
+BARE = 0.04
 # Characters of pages whose nodes a task holds at a time; one longer page is held alone.
 BATCH_CHARS = 1 << 21
 
@@ -54,9 +61,16 @@ KINDS = {"p": 1, "h1": 2, "h2": 2, "h3": 2, "h4": 2, "h5": 2, "h6": 2, "ul": 3,
 KIND_COUNT = 7
 CONTAINERS = (0, 3, 5)
 
+# A quote is one only where a value begins; elsewhere in a tag it is a character.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>",
+    re.S,
 )
+# Raw elements that hold others of their name.
+NESTED = frozenset({"svg", "template"})
+# Elements below this depth are put beside each other, as browsers do.
+DEEPEST = 512
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop|itemtype|hidden|style|aria-hidden)\s*+(?:=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -94,6 +108,8 @@ def parsed(source: str) -> Page:
     links = 0
     run: list[str] = []
     linked = 0
+    # Open elements by name, so that no tag looks for one in vain.
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         nonlocal linked
@@ -118,9 +134,15 @@ def parsed(source: str) -> Page:
         nonlocal links
         if len({node for _, node in stack[at - 1 :]}) > 1:
             flush()
-        links -= sum(name == "a" for name, _ in stack[at:])
+        for name, _ in stack[at:]:
+            links -= name == "a"
+            opened[name] -= 1
         del stack[at:]
 
+    def open_element(name: str, node: int) -> None:
+        stack.append((name, node))
+        opened[name] += 1
+
     def said(text: str) -> None:
         nonlocal linked
         if text:
@@ -142,6 +164,8 @@ def parsed(source: str) -> Page:
             continue
         name = m[2].lower()
         if m[1]:
+            if not opened[name]:
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
                     close(i)
@@ -150,27 +174,27 @@ def parsed(source: str) -> Page:
                     break
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(source, at)
-            at = end.end() if end else size
+            if not (name == "svg" and m[3].endswith("/")):
+                at = raw_end(source, name, at)
             continue
         if name == "br":
             run.append(" ")
             continue
         if name in INLINE and not (name == "ins" and m[3].strip()):
-            stack.append((name, stack[-1][1]))
+            open_element(name, stack[-1][1])
             links += name == "a"
             continue
         flush()
         if name in VOID:
             continue
-        for i in range(len(stack) - 1, 0, -1):
+        for i in range(len(stack) - 1, 0, -1) if opened["p"] else ():
             if stack[i][0] == "p":
                 close(i)
                 break
             if stack[i][0] in P_SCOPE:
                 break
         names, bounds = CLOSES.get(name, ((), ()))
-        if names:
+        if any(opened[x] for x in names):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in bounds:
                     break
@@ -182,12 +206,27 @@ def parsed(source: str) -> Page:
         if name in ("html", "body", "head"):
             continue
         parent = stack[-1][1]
+        if page.depth[parent] >= DEEPEST:
+            parent = page.parent[parent]
         marks = ["t:" + name, *attribute_marks(m[3])]
-        stack.append((name, add(parent, KINDS.get(name, 5), marks, None, 0, page.dropped[parent] or name in DROPPED)))
+        open_element(name, add(parent, KINDS.get(name, 5), marks, None, 0, page.dropped[stack[-1][1]] or name in DROPPED))
     flush()
     return page
 
 
+def raw_end(source: str, name: str, at: int) -> int:
+    """Where an element without text of its own ends; one left open goes to the end of the page."""
+    depth = 1
+    for m in re.compile(rf"<(/?){name}(?![^\s/>])[^>]*>?", re.I).finditer(source, at):
+        if m[1]:
+            depth -= 1
+        elif name in NESTED and not m[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return m.end()
+    return len(source)
+
+
 def steps(value: float, *bounds: float) -> int:
     return sum(value > b for b in bounds)
 
@@ -494,6 +533,12 @@ def labelled_pages(count: int = PAGES, seed: int = 1) -> list[tuple[str, str]]:
         if pick.random() < 0.05:
             whole = f"<form>{whole}</form>"
         pages.append((f"<html><head><title>{short()}</title></head><body>{whole}</body></html>", "\n".join(texts)))
+    style = 0
+    for _ in range(int(BARE * count)):
+        # Nothing but text: no part, no container, often a single block.
+        texts = [prose(1, 5) for _ in range(pick.choice([1, 1, 1, 2, 3]))]
+        body = pick.choice(["", "", "<div>"]) + "".join(f"<p>{inline(x)}</p>" for x in texts)
+        pages.append((f"<html><body>{body}</body></html>", "\n".join(texts)))
     return pages
 
 
@@ -509,13 +554,25 @@ def main_blocks(sources: list[str], model: Model) -> list[list[str]]:
     return out
 
 
+def fitted(spark: SparkSession) -> Model:
+    """The model of the pages made by rule, fitted in a task."""
+
+    def train(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(learn(labelled_pages()))], pa.binary())], names=["model"])
+
+    row = spark.range(1, numPartitions=1).mapInArrow(train, "model binary").first()
+    return pickle.loads(row.model)
+
+
 def extracted(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text, n_chars and n_blocks of every page."""
-    shared = pages.sparkSession.sparkContext.broadcast(model or learn(labelled_pages()))
+    shared = sent(pages.sparkSession, model or fitted(pages.sparkSession))
     id_type = dict(pages.dtypes)["page_id"]
 
     def run(batches):
-        fitted = shared.value
+        known = shared.value
         for batch in batches:
             sources = batch.column("html").to_pylist()
             texts, counts = [], []
@@ -525,7 +582,7 @@ def extracted(pages: DataFrame, model: Model | None = None) -> DataFrame:
                 while high < len(sources) and (high == low or size + len(sources[high] or "") <= BATCH_CHARS):
                     size += len(sources[high] or "")
                     high += 1
-                for blocks in main_blocks([x or "" for x in sources[low:high]], fitted):
+                for blocks in main_blocks([x or "" for x in sources[low:high]], known):
                     texts.append("\n".join(blocks))
                     counts.append(len(blocks))
                 low = high

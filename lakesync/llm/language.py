@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BASE, BYTE_VALUES, byte_classes, mixed, other_columns, powers, schema_of, text_slices, words, written
+from lakesync.llm.common import BASE, byte_classes, BYTE_VALUES, mixed, other_columns, powers, schema_of, sent, text_slices, words, written
 from lakesync.session import bounded_broadcast
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -277,7 +277,7 @@ def scores(column: pa.Array, model: Model, tables: tuple, memory: dict) -> np.nd
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred and score, the posterior of the predicted language; the text column must be `text`."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = sent(spark, model)
     rest = other_columns(docs, ["text", "lang_pred", "score"])
     schema = schema_of(docs, rest).add("lang_pred", "string").add("score", "double")
 

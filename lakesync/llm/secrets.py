@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import other_columns, schema_of, text_slices
+from lakesync.llm.common import other_columns, schema_of, sent, text_slices
 
 STRETCH = 256
 # Replaces a span in a cleaned text.
@@ -328,7 +328,7 @@ def cleaned(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, output: Callable | None = None) -> DataFrame:
     """docs, without text, with n_assign, n_access, n_hex, base_sha256, spans and cleaned, the text without secrets."""
-    shared = docs.sparkSession.sparkContext.broadcast(scanner(rules))
+    shared = sent(docs.sparkSession, scanner(rules))
     types = {"n_assign": "long", "n_access": "long", "n_hex": "long", "base_sha256": "string", "spans": "string", "cleaned": "string"}
     rest = other_columns(docs, ["text", *types])
     nothing = hashlib.sha256(b"").hexdigest()

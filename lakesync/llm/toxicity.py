@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.common import BARE_WORDS, other_columns, schema_of, text_slices, words
+from lakesync.llm.common import BARE_WORDS, other_columns, schema_of, sent, text_slices, words
 
 # Labelled rows that the models are fitted on, and the characters of a text that may be one.
 SAMPLE_ROWS, SAMPLE_CHARS = 5000, 20_000
@@ -274,7 +274,7 @@ def scored(docs: DataFrame, model: Model | None, spans: bool = False) -> DataFra
 
     `spans` are start:end:marginal of toxic words (marginal of 0.5 or more), offsets in code points.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = sent(docs.sparkSession, model)
     names = ["score", "predicted"] + (["spans"] if spans else [])
     rest = other_columns(docs, ["text", *names])
 

@@ -1,6 +1,7 @@
 import os
 import re
 import sys
+import time
 
 import numpy as np
 import pytest
@@ -93,3 +94,82 @@ def test_edges(spark, model):
     assert got[0][0].text == got[1][0].text == got[8][0].text == got[11][0].text == "" and got[0][0].n_chars == 0
     assert got[9][0].n_blocks == 20_000
     assert H.extracted(spark.createDataFrame([], PAGES), model).collect() == []
+
+
+ARTICLE = "<article>" + "".join(f"<p>Paragraph {i} of the article, with some more words in it to read.</p>" for i in range(5)) + "</article>"
+PLAIN = "\n".join(f"Paragraph {i} of the article, with some more words in it to read." for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        '<svg class="icon"/>',
+        '<svg class="icon"><g><svg><path d="x"/></svg></g><text>hidden</text></svg>',
+        "<template><template><p>hidden</p></template><p>hidden</p></template>",
+        '<img alt="5" tall">',
+        "<img alt='5' tall'>",
+        "<a href=/it's>x</a>",
+        '<img alt="a > b" src=x>',
+    ],
+)
+def test_what_stands_before_an_article(model, before):
+    page = f'<html><body><nav><a href="/">Home</a> <a href="/n">News</a></nav>{before}{ARTICLE}<footer>&copy; 2024 Site</footer></body></html>'
+    assert text(page, model) == PLAIN
+
+
+def test_attributes_without_quotes(model):
+    page = f"<html><body>{ARTICLE.replace('<p>', '<p class=don\'t data-x=a=b>')}</body></html>"
+    assert text(page, model) == PLAIN
+
+
+@pytest.mark.parametrize("page", ["<p>{}</p>", "<html><head><title>T</title></head><body><p>{}</p></body></html>", "<body><div><p>{}</p></div></body>"])
+def test_one_paragraph(model, page):
+    body = "There is only this one paragraph here, which says what there is to say about it. It has a second sentence."
+    assert text(page.format(body), model) == body
+
+
+def test_deep_trees_take_no_longer(model):
+    start = time.perf_counter()
+    page = H.parsed("<div>" * 20_000 + "<p>text" + "</div>" * 20_000 + "</b>" * 20_000)
+    assert max(page.depth) <= H.DEEPEST + 2 and [t for t in page.text if t] == ["text"]
+    H.parsed("<b>" * 20_000 + "<p>text</p>" * 3)
+    H.parsed("<li>" * 20_000)
+    assert time.perf_counter() - start < 1
+    assert "text" not in text("<div>" * 20_000 + "<nav><a>text</a></nav>", model) and time.perf_counter() - start < 6
+
+
+def test_fitted_in_a_task(spark, model):
+    there = H.fitted(spark)
+    assert there.numbers == model.numbers and np.allclose(there.weights, model.weights)
+
+
+# Layouts by hand that the labelled pages are not made of: (html, main text).
+BY_HAND = [
+    (
+        "<body><div id='hd'><h2>Daily Blade</h2><ul><li><a href='/1'>World</a><li><a href='/2'>Sport</a></ul></div>"
+        "<table><tr><td><div class='story'><h1>Rain in the hills</h1><p>It rained all day in the hills above the town, and the river rose.</p>"
+        "<p>People left their houses before night came, as they were told to.</p></div></td></tr></table>"
+        "<div id='ft'><p>Copyright Daily Blade. All rights reserved.</p></div></body>",
+        ["Rain in the hills", "It rained all day in the hills above the town, and the river rose.", "People left their houses before night came, as they were told to."],
+    ),
+    (
+        "<main><section class='hero'><h1>How to bake</h1></section><section class='post-body'><p>Take flour, water, salt and time, and mix them well.</p>"
+        "<ol><li>Knead the dough for ten minutes.</li><li>Let it rest over night.</li></ol></section></main>"
+        "<aside><h4>More recipes</h4><a href='/a'>Soup</a><a href='/b'>Cake</a></aside>",
+        ["How to bake", "Take flour, water, salt and time, and mix them well.", "Knead the dough for ten minutes.", "Let it rest over night."],
+    ),
+    (
+        "<div class='wrapper'><div class='nav-wrap'><a href='/'>Start</a> | <a href='/x'>About</a></div><div class='entry'><p>A first thought on the matter at hand, longer than a line.</p>"
+        "<blockquote>Someone said this at some time.</blockquote><p>And a last thought, which closes the matter for now.</p></div>"
+        "<div class='comments'><p>Nice one!</p></div></div>",
+        ["A first thought on the matter at hand, longer than a line.", "Someone said this at some time.", "And a last thought, which closes the matter for now."],
+    ),
+]
+
+
+def test_layouts_by_hand(model):
+    right = wrong = missed = 0
+    for page, want in BY_HAND:
+        got = set(text(page, model).split("\n"))
+        right, wrong, missed = right + len(got & set(want)), wrong + len(got - set(want)), missed + len(set(want) - got)
+    assert right >= 0.9 * (right + missed) and right >= 0.8 * (right + wrong)
