@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync import schemas as S
@@ -53,6 +53,32 @@ def with_shard(rows: DataFrame, field: str, count: str | int, *, by: str | None
     )
 
 
+def moves(
+    rows: DataFrame, table: str, field: str, old: str | int, new: str | int, *, by: str | None = None, file: str, pos: int
+) -> DataFrame:
+    """Changes that bring a target from `old` to `new` shards: (dst_table, op, file, pos) and the columns of its rows.
+
+    Only rows whose shard differs move, each as a delete where it was and an insert where it
+    goes, at one log position: later changes of the row win over both. The others are not touched.
+    A row whose field gives no shard has a `_reason` and goes nowhere.
+    """
+
+    def place(shard: Column, count: str | int) -> Column:
+        return F.lit(table) if shards.shard_count(count) == 1 else F.concat(F.lit(f"{table}_"), shard.cast("string"))
+
+    was = with_shard(rows.select(F.struct(*rows.columns).alias("_row"), F.col(field)), field, old, by=by)
+    now = with_shard(was.withColumnRenamed("shard", "_was"), field, new, by=by)
+    known = now.select("_row", "_reason", place(F.col("_was"), old).alias("_from"), place(F.col("shard"), new).alias("_to"))
+    parts = F.array(
+        F.struct(F.col("_from").alias("dst_table"), F.lit(S.DELETE).cast("tinyint").alias("op")),
+        F.struct(F.col("_to").alias("dst_table"), F.lit(S.INSERT).cast("tinyint").alias("op")),
+    )
+    bad = F.array(F.struct(F.lit(None).cast("string").alias("dst_table"), F.lit(S.INSERT).cast("tinyint").alias("op")))
+    some = known.where("_reason is not null or _from <> _to")
+    split = some.select("_row", "_reason", F.explode(F.when(F.col("_reason").isNull(), parts).otherwise(bad)).alias("_part"))
+    return split.select("_part.*", F.lit(file).alias("file"), F.lit(pos).cast("bigint").alias("pos"), "_reason", "_row.*")
+
+
 def shard_table(table: str, shard: int | None, count: str | int | None) -> str:
     return table if shards.shard_count(count) == 1 else f"{table}_{shard}"
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.functions import shards
-from lakesync.session import bounded_broadcast
+from lakesync.session import BROADCAST_ROWS, bounded_broadcast, measured_broadcast, stored
 
 # Which tables of a database a rule takes.
 ALL = 1
@@ -240,15 +240,25 @@ def check_routes(routes: DataFrame, allow: Sequence[str] = ()) -> None:
         raise ValueError(f"routes that cannot work ({total}): " + ", ".join(some))
 
 
+def named_routes(changes: DataFrame, routes: DataFrame) -> DataFrame:
+    """Routes of the tables that some changes name. The names are made distinct before they move, the changes stay."""
+    names = changes.select("instance", F.col("db").alias("src_db"), F.col("table").alias("src_table")).distinct()
+    return stored(routes.join(names, ["instance", "src_db", "src_table"], "left_semi"), "routes")
+
+
 def route(changes: DataFrame, routes: DataFrame, check_size: bool = True) -> DataFrame:
     """Attach its route to every change; changes without one get reason `unrouted`.
 
-    One left join serves the main path and the quarantine. The routes are broadcast
-    when counted small; otherwise the join shuffles and adaptive execution splits the
+    One left join serves the main path and the quarantine. The routes are broadcast when
+    counted small. Of more routes, those that the changes name are looked up first and broadcast
+    when measured small; only beyond that the join shuffles, and adaptive execution splits the
     partitions of a hot source table. `check_size=False` takes the routes as they come,
     for callers that have hinted them once for many batches.
     """
-    sized = bounded_broadcast(routes) if check_size else routes
+    sized = routes
+    if check_size:
+        many = routes.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS and not changes.isStreaming
+        sized = measured_broadcast(named_routes(changes, routes)) if many else bounded_broadcast(routes)
     keyed = sized.withColumnsRenamed({"src_db": "db", "src_table": "table"})
     joined = changes.join(keyed, ["instance", "db", "table"], "left")
     return joined.withColumn(

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Largest metadata frame that is broadcast, in rows. Route and key frames hold a
 # handful of names of at most 64 characters, so this is some tens of megabytes.
 BROADCAST_ROWS = 100_000
+# The same in bytes of text, for frames that are measured.
+BROADCAST_BYTES = 1 << 27
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -79,3 +81,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     """
     rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def measured_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The same by the bytes that a stored frame of names has, 64 a row besides its texts."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    size = df.agg(F.sum(sum(texts, F.lit(64).cast("bigint")))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

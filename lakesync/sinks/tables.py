@@ -11,6 +11,7 @@ from pyspark.sql import types as ST
 from lakesync import schemas as S
 from lakesync.functions.types import ColumnSpec
 from lakesync.operators import reshard
+from lakesync.sources.chunks import chunk_bounds, chunk_of
 
 # Table properties of a lake target on a row-level table format.
 ROW_LEVEL_PROPERTIES = {
@@ -148,6 +149,24 @@ def sorted_by_key(rows: DataFrame, keys: Sequence[str], files: int | None = None
     return rows.repartitionByRange(*args).sortWithinPartitions(*keys)
 
 
+def interleaved(rows: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
+    """Write layout for filters on any of some columns: rows in the order of their interleaved cell numbers.
+
+    A column is cut at quantiles into 2 ** bits cells, so cells hold about as many rows each
+    however skewed it is. Rows that are near in all columns lie in the same row groups, whose
+    smallest and largest values then rule them out for a key as well as for a range of times.
+    """
+    types = dict(rows.dtypes)
+    cells = [chunk_of([F.col(c)], chunk_bounds(rows, [c], 1 << bits), [types[c]]).cast("bigint") for c in columns]
+    order = F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for i, cell in enumerate(cells):
+            one = F.shiftright(cell, bit).bitwiseAND(F.lit(1))
+            order = order.bitwiseOR(F.shiftleft(one, bit * len(cells) + i))
+    placed = rows.withColumn("_order", order).repartitionByRange(files, "_order", *columns)
+    return placed.sortWithinPartitions("_order", *columns).drop("_order")
+
+
 def split_by_target(rows: DataFrame, path: str, by: Sequence[str] = ("dst_db", "dst_table")) -> None:
     """One write for all targets, a folder each; hot targets spread over several files."""
     rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)

@@ -329,6 +329,20 @@ def reshard_uid(spark, sf_dir):
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
+def uid_orders(spark, sf_dir):
+    key = F.col("o_orderkey")
+    uid = F.when(key % 50 == 0, -F.col("o_custkey") - 1).when(key % 50 == 1, F.lit(None)).otherwise(F.col("o_custkey") + 2_147_483_648)
+    return E.table(spark, sf_dir, "orders").select("o_orderkey", uid.alias(shards.UID_FIELD))
+
+
+def reshard_moved(spark, sf_dir):
+    """From ten to a hundred shards: only orders whose shard differs move, the others and bad keys stay where they are."""
+    moved = reshard.moves(uid_orders(spark, sf_dir), "t_order", shards.UID_FIELD, "TEN", "HUNDRED", file="bin.000009", pos=4)
+    return moved.select(
+        F.coalesce("dst_table", F.lit("")).alias("dst_table"), F.col("op").cast("int").alias("op"), "o_orderkey", F.coalesce("_reason", F.lit("")).alias("reason")
+    )
+
+
 def reshard_order(spark, sf_dir):
     """Orders re-sharded by the last three digits of a text id."""
     key = F.lpad(F.col("o_orderkey").cast("string"), 7, "0")
@@ -369,6 +383,7 @@ QUERIES = {
     "shard_indexes": shard_indexes,
     "reshard_uid": reshard_uid,
     "reshard_order": reshard_order,
+    "reshard_moved": reshard_moved,
 }
 
 US = "(epoch_us(o_orderdate) + o_orderkey % 86399 * 1000000 + o_orderkey % 1000 * 1001)"
@@ -448,6 +463,10 @@ SELECT db, tbl AS table, di AS db_index, ti AS table_index, TRUE AS no_index, 'f
         ", CASE WHEN m > 1 OR {n} = 1 THEN '' ELSE 'bad_shard_key' END AS reason",
         {"TEN": 10, "HUNDRED": 100, "THOUSAND": 1000, "ONE": 1}, "v", "m > 1",
     ),
+    "reshard_moved": """WITH s AS (SELECT o_orderkey, o_orderkey % 50 AS m, o_custkey + 2147483648 AS v FROM orders)
+SELECT 't_order_' || v % 10 AS dst_table, 3 AS op, o_orderkey, '' AS reason FROM s WHERE m > 1 AND v % 10 <> v % 100
+UNION ALL SELECT 't_order_' || v % 100, 0, o_orderkey, '' FROM s WHERE m > 1 AND v % 10 <> v % 100
+UNION ALL SELECT '', 0, o_orderkey, 'bad_shard_key' FROM s WHERE m <= 1""",
     "reshard_order": "WITH s AS (SELECT o_orderkey, o_orderkey % 40 AS m, o_orderkey % 1000 AS v FROM orders) "
     + _shard_rows("", {"TEN": 10, "HUNDRED": 100, "THOUSAND": 1000}, "v", "m > 2"),
 }

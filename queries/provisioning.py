@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakesync import schemas as S
 from lakesync.functions import shards
 from lakesync.operators import ddl, provision, routes as R
 from lakesync.session import run_dir
@@ -61,12 +62,27 @@ def sorted_layout(spark, sf_dir):
     return read.groupBy("l_orderkey").agg(F.count("*").alias("rows"), (F.countDistinct("file") <= 2).alias("together"))
 
 
+def returned_keys(spark, sf_dir):
+    """Order keys that returned lines name."""
+    return E.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+
+
 def point_lookup(spark, sf_dir):
-    """Orders read by key from files with point-lookup filters on the key."""
+    """Orders of all keys that returned lines name, read from files with point-lookup filters on the key."""
     path = run_dir(spark, "lookup")
     orders = E.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     orders.write.options(**tables.bloom_options(["o_orderkey"])).parquet(path)
-    return spark.read.parquet(path).where("o_orderkey in (1, 77, 500, 900)")
+    return spark.read.parquet(path).join(returned_keys(spark, sf_dir), "o_orderkey", "left_semi")
+
+
+def two_key_lookup(spark, sf_dir):
+    """The same for a range of times, from files laid out by key and time together."""
+    path = run_dir(spark, "interleaved")
+    orders = E.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", E.micros("o_orderdate").alias(S.SYNC_TS))
+    tables.interleaved(orders, ["o_orderkey", S.SYNC_TS], files=4).write.parquet(path)
+    first, last = (E.micros(F.lit(d).cast("timestamp_ntz")) for d in ("1996-01-01 00:00:00", "1998-01-01 00:00:00"))
+    some = spark.read.parquet(path).where((F.col(S.SYNC_TS) >= first) & (F.col(S.SYNC_TS) < last))
+    return some.join(returned_keys(spark, sf_dir), "o_orderkey", "left_semi")
 
 
 def target_folders(spark, sf_dir):
@@ -104,6 +120,7 @@ QUERIES = {
     "missing_targets": missing_targets,
     "sorted_layout": sorted_layout,
     "point_lookup": point_lookup,
+    "two_key_lookup": two_key_lookup,
     "target_folders": target_folders,
     "ddl_stream_dedup": ddl_stream_dedup,
 }
@@ -137,7 +154,11 @@ FROM r WHERE shards > 1 AND db = 'db_2'
 UNION ALL SELECT DISTINCT db, tbl, 'c1', 'no_shard_function' FROM r WHERE shards > 1 AND db = 'db_3'""",
     "missing_targets": f"WITH {META_SQL}, t AS ({CLONES_SQL}) SELECT * FROM t WHERE dst_table NOT LIKE '%1'",
     "sorted_layout": "SELECT l_orderkey, count(*) AS rows, TRUE AS together FROM lineitem GROUP BY ALL",
-    "point_lookup": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey IN (1, 77, 500, 900)",
+    "point_lookup": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+    "two_key_lookup": """SELECT o_orderkey, o_custkey, epoch_us(o_orderdate) AS f_ts FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+  AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'""",
     "target_folders": f"WITH {E.E_SQL} SELECT db AS dst_db, tbl AS dst_table, count(*) AS rows, max(event_id) AS last FROM e GROUP BY ALL",
     "ddl_stream_dedup": "SELECT DISTINCT 'i0' AS instance, 'bin.000001' AS file, event_id // 3 AS pos, 'ALTER TABLE t ADD c INT' AS ddl FROM events",
 }
