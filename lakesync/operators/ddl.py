@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from lakesync import schemas as S
+from lakesync import files, schemas as S
 from lakesync.functions import wire
 from lakesync.functions.types import ColumnSpec, ddl_type, spark_type
 from lakesync.operators.quality import BLANK_OFFSET
@@ -63,6 +63,11 @@ def capture(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return log, events.where(blank).withColumn("_reason", F.lit(BLANK_OFFSET))
 
 
+LOG_SCHEMA = (
+    "instance string, src_db string, src_table string, dst_db string, dst_table string, ddl string, file string, pos bigint, ts_ms bigint"
+)
+
+
 def dedupe(log: DataFrame) -> DataFrame:
     """First event per instance and log position."""
     keys = ["instance", "file", "pos"]
@@ -75,9 +80,25 @@ def dedupe(log: DataFrame) -> DataFrame:
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
     """DDL log of a job over all its batches; an event repeated in a later batch counts once."""
+    if not files.children(spark, f"{root}/ddl_log"):
+        return spark.createDataFrame([], LOG_SCHEMA)
     return dedupe(spark.read.parquet(f"{root}/ddl_log").select(*S.DDL_LOG_COLUMNS))
 
 
+def merge_log(spark: SparkSession, root: str) -> None:
+    """Put the log's folders into a new one, as one file.
+
+    The folders that went into it are deleted only after it is complete, and an event that is in two counts once.
+    """
+    folders = files.children(spark, f"{root}/ddl_log")
+    if len(folders) < 2:
+        return
+    lowest = min(0, *(int(f.rsplit("=", 1)[1]) for f in folders))
+    read_log(spark, root).coalesce(1).write.parquet(f"{root}/ddl_log/batch_id={lowest - 1}")
+    for folder in folders:
+        files.delete(spark, f"{root}/ddl_log/{folder}")
+
+
 def dedupe_stream(log: DataFrame, event_time: str, delay: str) -> DataFrame:
     """Streaming form; state older than the delay is dropped."""
     return log.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["instance", "file", "pos"])

@@ -133,13 +133,18 @@ class StateStore:
         return self._load("base", [f"version={v}" for v in live], "version").unionByName(batches)
 
     def states(self, dst_db: str | None = None, dst_table: str | None = None) -> DataFrame:
-        """One state row per key; a target given by name is read from its folders only."""
+        """One state row per key; a target given by name is read from its folders only.
+
+        A single base with no batch behind it has one row per key already, so nothing is merged.
+        """
         raw = self.raw_states()
+        live = self._published()["live"]
+        single = [last - first for first, last in live] == [0] and not self.batches()
         if dst_db is not None:
             raw = raw.where(F.col("dst_db") == dst_db)
         if dst_table is not None:
             raw = raw.where(F.col("dst_table") == dst_table)
-        return fold.merge(raw, KEYS)
+        return raw if single else fold.merge(raw, KEYS)
 
     def current(
         self,

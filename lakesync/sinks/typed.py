@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync import schemas as S
+from lakesync import files, schemas as S
 from lakesync.functions.types import ColumnSpec
 from lakesync.operators import fold
 from lakesync.operators.typed import typed_rows
@@ -63,11 +63,8 @@ class TypedTable:
             f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(f'{quoted(c)} {t}' for c, t in fields.items())}) USING parquet "
             f"OPTIONS ({options}) PARTITIONED BY ({quoted(BUCKET)}) CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.buckets} BUCKETS{where}"
         )
-        if self.location:
-            context = self.spark.sparkContext
-            path = context._jvm.org.apache.hadoop.fs.Path(self.location)
-            if path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path):
-                self.spark.catalog.recoverPartitions(self.name)
+        if self.location and files.exists(self.spark, self.location):
+            self.spark.catalog.recoverPartitions(self.name)
 
     def bucket(self) -> Column:
         """The partition of a key: the bucket in which Spark puts it."""
@@ -80,39 +77,57 @@ class TypedTable:
         good = typed.where(F.col(S.REASON).isNull()).drop(S.REASON)
         return fold.fold(good, self.keys, F.struct(*self.values), F.col(S.SYNC_TS))
 
-    def merged(self, states: DataFrame, touched: Sequence[int] | None = None) -> DataFrame:
-        """Rows of the touched buckets after net changes, one of which a key has at most; all buckets if None."""
+    def _joined(self, states: DataFrame, touched: Sequence[int] | None) -> DataFrame:
+        """Keys with `_was` and `_now`, the row and its positions before and after net changes, and `_hit`: whether there is one."""
         old = self.spark.table(self.name)
         if touched is not None:
             old = old.where(F.col(BUCKET).isin(*touched))
-        names = {c: f"_new{c}" for c in (*fold.STATE, "last_ts")}
+        names = {c: f"_new_{c}" for c in (*fold.STATE, "last_ts")}
         net = states.select(*self.keys, *[F.col(c).alias(n) for c, n in names.items()]).hint("shuffle_hash")
         joined = old.drop(BUCKET).join(net, self.keys, "full")
 
-        def later(kind: str) -> Column:
-            was, now = F.col(f"_{kind}_ord"), F.col(f"_new{kind}_ord")
-            return now.isNotNull() & (was.isNull() | (now > was))
-
-        def pick(kind: str, new: str, old: str) -> Column:
-            return F.when(later(kind), F.col(new)).otherwise(F.col(old)).alias(old)
-
-        rows = joined.select(
-            *[F.col(c) if c in self.keys else F.when(later("image"), F.col("_newimage")[c]).otherwise(F.col(c)).alias(c) for c in self.kinds],
-            pick("anchor", "_newanchor_op", "_anchor_op"),
-            pick("anchor", "_newanchor_ord", "_anchor_ord"),
-            pick("image", "_newimage_ord", "_image_ord"),
-            pick("last", "_newlast_op", "_last_op"),
-            pick("last", "_newlast_ord", "_last_ord"),
-            pick("last", "_newlast_ts", "_last_ts"),
+        def pick(kind: str, new: Column, old: str) -> Column:
+            was, now = F.col(f"_{kind}_ord"), F.col(f"_new_{kind}_ord")
+            later = now.isNotNull() & (was.isNull() | (now > was))
+            return F.when(later, new).otherwise(F.col(old)).alias(old)
+
+        values = [pick("image", F.col("_new_image")[c], c) for c in self.values]
+        positions = [pick(c.split("_")[1], F.col(f"_new{c}"), c) for c in POSITIONS]
+        held = [*self.values, *POSITIONS]
+        return joined.select(
+            *self.keys, F.struct(*held).alias("_was"), F.struct(*values, *positions).alias("_now"), F.col("_new_last_ord").isNotNull().alias("_hit")
         )
+
+    def _exists(self, row: str) -> Column:
+        """Whether the row of a struct with positions is in the target."""
+        last, anchor = F.col(f"{row}._last_op"), F.col(f"{row}._anchor_op")
+        there = last != S.DELETE if self.profile == fold.LAKE else anchor == S.INSERT
+        return F.coalesce(there, F.lit(False))
+
+    def merged(self, states: DataFrame, touched: Sequence[int] | None = None) -> DataFrame:
+        """Rows of the touched buckets after net changes, one of which a key has at most; all buckets if None."""
+        joined = self._joined(states, touched)
         # A deleted lake row keeps its key and positions only.
-        gone = (F.col("_last_op") == S.DELETE) if self.profile == fold.LAKE else (F.col("_anchor_op") == S.DELETE)
-        emptied = {c: F.when(~gone, F.col(c)) for c in self.values} if self.profile == fold.LAKE else {}
-        return rows.withColumns({**emptied, BUCKET: self.bucket()})
+        kept = [F.when(self._exists("_now"), F.col("_now")[c]).alias(c) if self.profile == fold.LAKE else F.col("_now")[c].alias(c) for c in self.values]
+        columns = {c: k for c, k in zip(self.values, kept, strict=True)}
+        return joined.select(*[columns.get(c, F.col(c)) for c in self.kinds], *[F.col("_now")[c].alias(c) for c in POSITIONS], self.bucket().alias(BUCKET))
+
+    def differences(self, states: DataFrame, touched: Sequence[int] | None = None) -> DataFrame:
+        """Keys that net changes alter, with the row `before` and `after`, null where there is none; ask before `merge`."""
+
+        def row(side: str) -> Column:
+            return F.when(self._exists(side), F.struct(*[F.col(side)[c].alias(c) for c in self.values]))
+
+        found = self._joined(states, touched).where("_hit")
+        return found.select(*self.keys, row("_was").alias("before"), row("_now").alias("after")).where(~F.col("before").eqNullSafe(F.col("after")))
+
+    def touched(self, states: DataFrame) -> list[int]:
+        """Buckets of the keys of net changes, a number for each at most."""
+        return sorted(r[0] for r in states.select(self.bucket()).distinct().collect())
 
     def merge(self, states: DataFrame) -> list[int]:
         """Apply stored or cached net changes; returns the buckets that were written."""
-        touched = sorted(r[0] for r in states.select(self.bucket()).distinct().collect())
+        touched = self.touched(states)
         if touched:
             self._put(self.merged(states, touched))
         return touched

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakesync import schemas as S
+from lakesync import files, schemas as S
 from lakesync.operators import ddl, decode, fold, quality
 from lakesync.operators.routes import check_routes
 from lakesync.operators.typed import rejected, sync_time
@@ -37,7 +37,8 @@ class SyncJob:
     "several_instances" the instance becomes part of the keys of sharded lake targets.
     `logs` orders the logs of an instance that has had several (see decode.continued);
     without it, a second log of an instance stops the job. `typed` names targets that are
-    kept as typed tables too (see TypedTable); each is merged by a job of its own.
+    kept as typed tables too (see TypedTable); each is merged by a job of its own, and with
+    `send_differences` the rows before and after of each batch's touched keys are written first.
     """
 
     routes: DataFrame
@@ -52,6 +53,7 @@ class SyncJob:
     allow: Sequence[str] = ()
     logs: DataFrame | None = None
     typed: Sequence[TypedTable] = ()
+    send_differences: bool = False
     seen_logs: dict[str, str] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
@@ -90,7 +92,8 @@ class SyncJob:
             if self.logs is None:
                 self.check_logs(targeted)
             log, blank = ddl.capture(targeted)
-            log.write.mode("overwrite").parquet(f"{self.root}/ddl_log/batch_id={batch_id}")
+            if not log.isEmpty():  # most batches have none
+                log.write.mode("overwrite").parquet(f"{self.root}/ddl_log/batch_id={batch_id}")
             bad = quality.quarantined(targeted.unionByName(blank)).select(*S.QUARANTINE_COLUMNS)
             bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/batch_id={batch_id}")
             rows = targeted.where(F.col(S.REASON).isNull())
@@ -116,6 +119,10 @@ class SyncJob:
             bad.write.mode("overwrite").parquet(f"{self.root}/quarantine_typed/{target.db}.{target.table}/batch_id={batch_id}")
             states = target.states(own, stamp).persist()
             try:
+                out = f"{self.root}/differences/{target.db}.{target.table}/batch_id={batch_id}"
+                # A batch that comes again finds itself in the target; what it wrote the first time stays.
+                if self.send_differences and not files.exists(rows.sparkSession, f"{out}/_SUCCESS"):
+                    target.differences(states, target.touched(states)).write.mode("overwrite").parquet(out)
                 target.merge(states)
             finally:
                 states.unpersist()

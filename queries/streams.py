@@ -109,6 +109,21 @@ def stream_lake_typed(spark, sf_dir):
     return E.event_result(target.current(), S.DB_NAME, S.TABLE_NAME, S.SYNC_TS)
 
 
+def stream_differences_current(spark, sf_dir):
+    """Rows before and after that seven micro-batches gave out, added up: the last one of each key is the state."""
+    root = run_dir(spark, "stream")
+    target = typed_target(spark, root, buckets=8)
+    rules = [replace(E.SHOP_RULES[0], target=target.db)]
+    land(spark, sf_dir, f"{root}/landing", 7)
+    job = SyncJob(E.keyed_routes(spark, sf_dir, rules), f"{root}/store", f_ts=1_700_000_000_000, typed=[target], send_differences=True)
+    docs = envelopes.stream_envelopes(spark, f"{root}/landing", maxFilesPerTrigger="1")
+    job.start(docs, f"{root}/checkpoint", interval=None).awaitTermination()
+    given = spark.read.parquet(f"{root}/store/differences/{target.db}.{target.table}")
+    last = given.groupBy(*target.keys).agg(F.max_by("after", "batch_id").alias("after"))
+    whole = last.where("after is not null").select(*target.keys, "after.*")
+    return E.event_result(whole, S.DB_NAME, S.TABLE_NAME, S.SYNC_TS)
+
+
 def typed_increment(spark, sf_dir):
     """A downstream table from two increments of a typed table, whose filter on the sync time reaches the files."""
     target = typed_target(spark, run_dir(spark, "typed"), buckets=8)
@@ -124,6 +139,7 @@ def typed_increment(spark, sf_dir):
 
 QUERIES = {
     "stream_lake_typed": stream_lake_typed,
+    "stream_differences_current": stream_differences_current,
     "typed_increment": typed_increment,
     "stream_lake_current": stream_lake_current,
     "stream_migration_current": stream_migration_current,
@@ -134,6 +150,7 @@ QUERIES = {
 
 ORACLE = {
     "stream_lake_typed": LAKE_WITH_LINEAGE,
+    "stream_differences_current": LAKE_WITH_LINEAGE,
     "typed_increment": f"WITH {E.lake_sql()} SELECT db AS db_name, tbl AS table_name, {RESULT} FROM cur",
     "stream_lake_current": LAKE_WITH_LINEAGE,
     "stream_migration_current": f"WITH {E.migration_sql()} SELECT {RESULT} FROM cur",

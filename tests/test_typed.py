@@ -121,3 +121,24 @@ def test_again_over_its_files_and_rebuilt(spark, tmp_path):
     other.rebuild(net)
     assert held(other) == held(target)
     assert other.merge(states(spark, other, [])) == []
+
+
+@pytest.mark.parametrize("profile", [fold.LAKE, fold.MIGRATION])
+@pytest.mark.parametrize("count", [1, 2, 7])
+def test_differences_add_up_to_the_state(spark, tmp_path, profile, count):
+    pick = random.Random(count)
+    target = made(spark, tmp_path, profile, buckets=4)
+    changes = [(pick.choice([S.INSERT, S.UPDATE_AFTER, S.DELETE]), pick.randrange(25), pos) for pos in range(1, 141)]
+    where = [pick.randrange(count) for _ in changes]
+    held_now = {}
+    for b in range(count):
+        net = states(spark, target, [c for c, w in zip(changes, where, strict=True) if w == b]).persist()
+        for r in target.differences(net, target.touched(net)).collect():
+            assert held_now.get(r["id"]) == (tuple(r["before"]) if r["before"] else None)
+            assert r["before"] != r["after"]
+            held_now[r["id"]] = tuple(r["after"]) if r["after"] else None
+        target.merge(net)
+        # What comes again changes nothing.
+        assert target.differences(net).count() == 0
+        net.unpersist()
+    assert {k: v for k, v in held_now.items() if v} == plain(changes, profile) == held(target)
