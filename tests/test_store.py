@@ -276,3 +276,36 @@ def test_rows_that_do_not_fit_are_reported_whole(spark, tmp_path):
 def test_read_envelopes(spark, tmp_path):
     docs(spark, [doc("c", {"id": 1})]).write.text(str(tmp_path / "x"))
     assert envelopes.read_envelopes(spark, str(tmp_path / "x")).columns == ["value"]
+
+
+def test_ddl_log_folders(spark, tmp_path):
+    """Batches without DDL leave no folder; merging leaves one, at any time, with the same events."""
+    job = SyncJob(routes(spark), str(tmp_path / "s"))
+    assert ddl.read_log(spark, job.root).count() == 0
+    for n in range(5):
+        lines = [doc("c", {"id": n, "v": "a"}, pos=n)] + ([ddl_doc(f"ALTER TABLE t ADD c{n} INT", pos=100 + n)] if n in (1, 3) else [])
+        job.process(docs(spark, lines), n)
+    folders = lambda: sorted(p.name for p in (tmp_path / "s" / "ddl_log").iterdir())
+    assert folders() == ["batch_id=1", "batch_id=3"]
+    want = rows(ddl.read_log(spark, job.root), "pos", "ddl")
+    ddl.merge_log(spark, job.root)
+    assert folders() == ["batch_id=-1"] and rows(ddl.read_log(spark, job.root), "pos", "ddl") == want
+    job.process(docs(spark, [ddl_doc("ALTER TABLE t ADD c9 INT", pos=109)]), 9)
+    job.process(docs(spark, [ddl_doc("ALTER TABLE t ADD c3 INT", pos=103)]), 3)
+    ddl.merge_log(spark, job.root)
+    assert folders() == ["batch_id=-2"]
+    assert rows(ddl.read_log(spark, job.root), "pos", "ddl") == sorted([*want, (109, "ALTER TABLE t ADD c9 INT")], key=repr)
+
+
+def test_one_full_base_is_read_without_a_merge(spark, tmp_path):
+    job = SyncJob(routes(spark), str(tmp_path / "s"))
+    for n in range(2):
+        job.process(docs(spark, [doc("c", {"id": i, "v": f"{n}"}, pos=10 * n + i) for i in range(5)]), n)
+    store = StateStore(spark, job.root)
+    want = rows(store.current("d", "t", COLUMNS, fold.LAKE), "id", "v")
+    store.compact()
+    after = store.current("d", "t", COLUMNS, fold.LAKE)
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert rows(after, "id", "v") == want and "Aggregate" not in plan and "Exchange" not in plan
+    job.process(docs(spark, [doc("u", {"id": 2, "v": "new"}, pos=99)]), 2)
+    assert (2, "new") in rows(store.current("d", "t", COLUMNS, fold.LAKE), "id", "v")
