@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.functions import shards
-from lakesync.session import BROADCAST_ROWS, bounded_broadcast, measured_broadcast, stored
+from lakesync.session import BROADCAST_ROWS, measured_broadcast, stored
 
 # Which tables of a database a rule takes.
 ALL = 1
@@ -257,8 +257,8 @@ def route(changes: DataFrame, routes: DataFrame, check_size: bool = True) -> Dat
     """
     sized = routes
     if check_size:
-        many = routes.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS and not changes.isStreaming
-        sized = measured_broadcast(named_routes(changes, routes)) if many else bounded_broadcast(routes)
+        few = routes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        sized = F.broadcast(routes) if few else routes if changes.isStreaming else measured_broadcast(named_routes(changes, routes))
     keyed = sized.withColumnsRenamed({"src_db": "db", "src_table": "table"})
     joined = changes.join(keyed, ["instance", "db", "table"], "left")
     return joined.withColumn(

@@ -77,25 +77,38 @@ def variant_key(names: Sequence[str]):
     return key_of
 
 
-def routed_key(names: Column):
-    """Key of a VARIANT row whose key columns come with its route."""
+# Names of key columns that get a path of their own; a path that is made for each row is parsed for each row.
+KNOWN_NAMES = 32
+
+
+def key_names(routes: DataFrame) -> list[str]:
+    """Names that the keys of routes use, if they are few; else none."""
+    names = routes.select(F.explode("keys").alias("name")).distinct().limit(KNOWN_NAMES + 1).collect()
+    return sorted(r["name"] for r in names) if len(names) <= KNOWN_NAMES else []
+
+
+def routed_key(names: Column, known: Sequence[str] = ()):
+    """Key of a VARIANT row whose key columns come with its route; `known` names are read by constant paths."""
 
     def key_of(row: Column) -> Column:
-        return F.transform(names, lambda n: named_field(row, n))
+        return F.transform(names, lambda n: named_field(row, n, known))
 
     return key_of
 
 
-def named_field(row: Column, name: Column) -> Column:
+def named_field(row: Column, name: Column, known: Sequence[str] = ()) -> Column:
     """Text of the field of a VARIANT row whose name is a column."""
     single = F.concat(F.lit("$['"), name, F.lit("']"))
     path = F.when(F.contains(name, F.lit("'")), F.concat(F.lit('$["'), name, F.lit('"]'))).otherwise(single)
-    return F.try_variant_get(row, path, "string")
+    found = F.try_variant_get(row, path, "string")
+    for one in reversed(known):
+        found = F.when(name == one, F.try_variant_get(row, wire.field_path(one), "string")).otherwise(found)
+    return found
 
 
 def target_shard(row: Column) -> Column:
     """Number of the shard a row of a re-sharded target belongs to, 0 where there is one; NULL if its field tells none."""
-    text = named_field(row, F.col("shard_field"))
+    text = named_field(row, F.col("shard_field"), (shards.UID_FIELD, shards.ORDER_FIELD))
     return (
         F.when(F.coalesce("shard_count", F.lit(1)) <= 1, F.lit(0))
         .when(F.col("shard_field") == shards.UID_FIELD, shards.shard_of_uid(text, F.col("shard_count")))
@@ -103,9 +116,9 @@ def target_shard(row: Column) -> Column:
     )
 
 
-def placed_key(names: Column):
+def placed_key(names: Column, known: Sequence[str] = ()):
     """Key of a VARIANT row with the shard it belongs to: an update that changes either moves the row."""
-    key_of = routed_key(names)
+    key_of = routed_key(names, known)
     return lambda row: F.concat(key_of(row), F.array(target_shard(row).cast("string")))
 
 
@@ -117,20 +130,22 @@ def routed_changes(
     check_size: bool = True,
     split_keys: bool = True,
     logs: DataFrame | None = None,
+    known: Sequence[str] | None = None,
 ) -> DataFrame:
     """Decoded changes of all tables with route, `key` and `_reason`.
 
     An update that changes the key, or the shard of a re-sharded target, becomes a delete
     where the row was and an insert where it is. `logs` orders the logs of an instance
-    (see decode.continued).
+    (see decode.continued). `known` are the names of key columns (see key_names), looked up if None.
     """
+    known = key_names(routes) if known is None else known
     changes = decode.decode(envelopes, value)
     if logs is not None:
         changes = decode.continued(changes, logs)
     changes = R.route(changes, routes, check_size)
-    key_of = routed_key(F.col("keys"))
+    key_of = routed_key(F.col("keys"), known)
     if split_keys:
-        changes = decode.split_key_updates(changes, placed_key(F.col("keys")))
+        changes = decode.split_key_updates(changes, placed_key(F.col("keys"), known))
     is_row = F.col("op") != S.DDL
     changes = changes.withColumn("key", F.when(is_row, key_of(F.col("row"))))
     absent = is_row & (

@@ -14,7 +14,7 @@ from lakesync.operators import ddl, decode, fold, quality
 from lakesync.operators.routes import check_routes
 from lakesync.operators.typed import rejected, sync_time
 from lakesync.plans import sync
-from lakesync.session import BROADCAST_ROWS, bounded_broadcast, checkpointed
+from lakesync.session import BROADCAST_ROWS, checkpointed
 from lakesync.sinks import queue
 from lakesync.sinks.store import StateStore
 from lakesync.sinks.typed import TypedTable
@@ -67,7 +67,8 @@ class SyncJob:
             raise ValueError(f"{keyless.count()} tables without a key: {names}")
         # Of very many routes, each batch takes those that it names.
         self.many_routes = self.routes.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS
-        self.routes = self.routes if self.many_routes else bounded_broadcast(self.routes)
+        self.known = sync.key_names(self.routes)
+        self.routes = self.routes if self.many_routes else F.broadcast(self.routes)
         if self.logs is not None:
             self.logs = checkpointed(self.logs)
         for target in self.typed:
@@ -85,7 +86,7 @@ class SyncJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch of envelope text in column `value`."""
-        routed = sync.routed_changes(batch, self.routes, check_size=self.many_routes, logs=self.logs)
+        routed = sync.routed_changes(batch, self.routes, check_size=self.many_routes, logs=self.logs, known=self.known)
         targeted = sync.targets(routed, self.profile, "several_instances" in self.allow).persist()
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
         try:
