@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +11,8 @@ from lakesync.operators import decode, reshard, routes as R
 from lakesync.sources import catalog
 from tests.helpers import doc, docs, rows
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 DETAILS = {
     "ledger_s00p00": {
         "type": 2,
@@ -185,3 +191,23 @@ def test_merge_indexes_need_digits(spark):
         ("00_07", "3", None), (None, "3", "no_shard_index"),
     ]
     assert reshard.with_lineage(frame).columns == ["db_name", "table_name"]
+
+
+FRESH = """
+import sys
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+    .config("spark.checkpoint.dir", sys.argv[1] + "/shared").config("spark.sql.warehouse.dir", sys.argv[1] + "/warehouse").getOrCreate())
+from lakesync.operators.routes import resolve_routes
+from lakesync.sources import catalog
+from queries import feed
+tables = feed.shop_catalog(spark, sys.argv[2])
+keyed = catalog.with_keys(resolve_routes(tables, feed.SHOP_RULES), feed.shop_meta(tables.drop("instance")))
+assert {tuple(r["keys"]) for r in keyed.collect()} == {("id",)}
+"""
+
+
+def test_keys_of_the_same_catalog_in_a_fresh_session(sf_dir, tmp_path):
+    """What the first query of a session infers of the rules once named a column that the keys do not have."""
+    done = subprocess.run([sys.executable, "-c", FRESH, str(tmp_path), sf_dir], cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
