@@ -151,10 +151,11 @@ def central_pairs(classes: DataFrame) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -> DataFrame:
-    """(token, doc, cluster, packed) of every representative's prefix, rarest tokens first.
+    """(token, doc, cluster, packed, reach) of every representative's prefix, rarest tokens first.
 
     packed holds n and the group's number in its cluster, 31 bits each, and whether the token is in the shorter
-    prefix, the one that suffices towards texts of the same size or larger.
+    prefix, the one that suffices towards texts of the same size or larger. reach is the largest set towards
+    which the prefix goes as far as the token: with a larger one, too few tokens are left for a link.
     """
     listed = common.toArrow()
     order = np.argsort(listed.column("token").to_numpy())
@@ -183,13 +184,15 @@ def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -
                 keep = place < longer[row]
                 row, place, tokens = row[keep], place[keep], tokens[keep]
                 packed = (n[row] << 32) | (part[low + row] << 1) | (place < shorter[row])
+                # 7 * (tokens left + those that may be shared before) >= 3 * (sum of sizes)
+                reach = 7 * (n[row] - place + n[row] // FURTHER) // 3 - n[row]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens.view(np.int64)), pa.array(doc[low + row]), pa.array(cluster[low + row]), pa.array(packed)],
-                    names=["token", "doc", "cluster", "packed"],
+                    [pa.array(tokens.view(np.int64)), pa.array(doc[low + row]), pa.array(cluster[low + row]), pa.array(packed), pa.array(reach.astype(np.int32))],
+                    names=["token", "doc", "cluster", "packed", "reach"],
                 )
 
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(groups.hint("shuffle_hash"), "doc_id")
-    return some.select("doc_id", "cluster", "part", "text").mapInArrow(run, "token long, doc long, cluster long, packed long")
+    return some.select("doc_id", "cluster", "part", "text").mapInArrow(run, "token long, doc long, cluster long, packed long, reach int")
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -197,7 +200,9 @@ def candidates(rows: DataFrame) -> DataFrame:
 
     The smaller of a linked pair, of m tokens, shares at least 1 + m // FURTHER tokens of its
     shorter prefix with the longer prefix of the larger. Both sides look up by group, so a token
-    of a large cluster counts once for each of its groups and not for each of its members.
+    of a large cluster counts once for each of its groups and not for each of its members. Texts
+    that have much of a frequent passage, but too little for a link, do not meet by its tokens: for
+    the sizes of a pair, these lie behind its prefixes.
     """
     first = F.col("packed").bitwiseAND(F.lit(1)) == 1
     n = F.shiftright("packed", 32)
@@ -210,13 +215,15 @@ def candidates(rows: DataFrame) -> DataFrame:
             F.max(n).alias("high"),
             F.min(F.when(first, n)).alias("least"),
             F.max(F.when(first, n)).alias("most"),
+            F.max("reach").alias("wide"),
+            F.max(F.when(first, F.col("reach"))).alias("far"),
         )
     )
-    smaller = matrix.select("token", F.col("cluster").alias("other"), F.col("part").alias("other_part"), "least", "most")
+    smaller = matrix.select("token", F.col("cluster").alias("other"), F.col("part").alias("other_part"), "least", "most", "far")
     return (
-        matrix.select("token", "cluster", "part", "low", "high")
+        matrix.select("token", "cluster", "part", "low", "high", "wide")
         .join(smaller, "token")
-        .where("cluster != other and least <= high and 4 * most >= 3 * low")
+        .where("cluster != other and least <= high and 4 * most >= 3 * low and low <= far and least <= wide")
         .groupBy("cluster", "part", "other", "other_part")
         .agg(F.count("*").alias("shared"), F.min("least").alias("least"))
         .where(F.col("shared") > F.expr(f"least div {FURTHER}"))

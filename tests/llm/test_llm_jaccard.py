@@ -108,3 +108,21 @@ def test_many_copies_cost_no_pairs(spark):
     texts = [" ".join(base)] * 300 + [" ".join(changed(pick, base, 0.01)) for _ in range(300)]
     docs = documents(spark, texts)
     assert got(docs) == brute(list(enumerate(texts)))
+
+
+def test_texts_with_much_of_a_frequent_passage_do_not_meet(spark, monkeypatch):
+    """A passage of 96 shingles links texts with few words of their own, not these with texts of more."""
+    passage = " ".join(f"common{i}" for i in range(100))
+    lines = [(i, passage + "".join(f" own{i}x{j}" for j in range(10 if i < 20 else 30 + i % 4))) for i in range(40)]
+    docs = spark.createDataFrame(lines, "doc_id long, text string").coalesce(1)
+    met = []
+
+    def counted(rows, whole=J.candidates):
+        found = whole(rows)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(J, "candidates", counted)
+    found = {r["doc_id"]: r["component_id"] for r in J.document_components(docs).collect()}
+    assert found == {i: 0 if i < 20 else i for i in range(40)}
+    assert met == [0]
