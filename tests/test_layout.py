@@ -103,3 +103,12 @@ def test_very_many_routes_leave_the_feed_in_place(spark, monkeypatch):
         wanted = 3 if i % 3 == 0 else i
         known = wanted % 1000 == i % 1000
         assert (table, reason) == ((f"t_{wanted}", None) if known else (None, R.UNROUTED))
+
+
+def test_files_grow_with_the_table(spark, monkeypatch):
+    """A task sorts one file, so a larger table gets more files and not larger ones."""
+    monkeypatch.setattr(tables, "FILE_ROWS", 1000)
+    for n, files in ((3000, 4), (12_000, 12)):
+        frame = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.col("id").alias("f_ts"))
+        assert tables.sorted_by_key(frame, ["k"], 4).rdd.getNumPartitions() == files
+        assert tables.interleaved(frame, ["k", "f_ts"], 4).rdd.getNumPartitions() == files
