@@ -3,11 +3,13 @@
 Sets are the distinct word shingles of a text as 64-bit hashes. Texts with equal sets are one
 class, and a class has one representative. Representatives are partitioned into groups of
 similar ones: each meets the most central member of its minhash buckets, and what is verified
-to link with it is in its group. The matrix has, for each token and group, the range of sizes
+to link with it is in its group; where a crowd does not link with it, all its tokens elect another
+centre, which these meet. The matrix has, for each token and group, the range of sizes
 of the group's members with that token. A representative looks up the tokens of its prefix
 (rarest first, long enough that a linked pair must share one) and gets the groups that may
 hold a link; the overlap with the union of a group's tokens bounds the overlap with any of
-its members, and only groups within the bound are opened and compared member by member.
+its members, and only groups within the bound are opened and compared member by member, until
+one link is known, as the members are connected.
 
 Two sets link when 100 * intersection >= 75 * union, that is 7 * intersection >= 3 * (sum of sizes).
 Links inside a group that is connected anyway are not looked for, so a group of copies costs
@@ -33,6 +35,8 @@ MINS = 8
 ALIKE = 3
 # A prefix has one token more for so many tokens of its set, and a pair must share as many more: chance matches do not.
 FURTHER = 32
+# Representatives that do not link with their central one, above which another centre is taken by all their tokens.
+CROWD = 16
 # Most members of a group; a larger cluster is several groups.
 MEMBERS = 64
 # Tokens that come last in a prefix because many texts have them: a matter of speed, not of results.
@@ -150,6 +154,27 @@ def central_pairs(classes: DataFrame) -> DataFrame:
     )
 
 
+def recentred(near: DataFrame, stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): representatives that do not link with their central one, where there is a crowd of them, and a better centre.
+
+    The centre is the one that differs in the fewest tokens from all that met the old centre, by the number of
+    these that have each token. The old centre meets it too, so what links with either is one cluster.
+    """
+    failed = near.join(stars, ["a", "b"], "left_anti")
+    crowds = failed.groupBy("b").agg(F.count("*").alias("failed")).where(F.col("failed") > CROWD).select("b")
+    near = near.join(crowds, "b")
+    met = written(near.union(near.select("b", F.col("b").alias("a")).distinct()), "jaccard-crowds")
+    # A centre with very many has its tokens counted before their shuffle, and the counts meet them in a join that can be split.
+    tokens = written(met.join(sets, F.col("a") == F.col("doc_id")).select("b", "a", F.explode("tokens").alias("token")), "jaccard-crowd-tokens")
+    votes = written(tokens.groupBy("b", "token").agg(F.count("*").alias("votes")).where("votes > 1"), "jaccard-votes")
+    total = met.groupBy("b").agg(F.count("*").alias("total"))
+    score = tokens.join(votes, ["b", "token"]).groupBy("b", "a").agg(F.sum("votes").alias("votes")).join(total, "b")
+    sized = score.join(sets.select(F.col("doc_id").alias("a"), F.size("tokens").alias("n")), "a")
+    best = sized.groupBy("b").agg(F.max(F.struct(F.expr("2 * votes - total * n").alias("near"), -F.col("a"))).alias("top"))
+    asking = failed.join(crowds, "b").union(crowds.select(F.col("b").alias("a"), "b"))
+    return asking.join(best, "b").select("a", (-F.col("top.col2")).alias("b")).where("a != b").distinct()
+
+
 def prefixes(docs: DataFrame, groups: DataFrame, common: DataFrame, size: int) -> DataFrame:
     """(token, doc, cluster, packed, reach) of every representative's prefix, rarest tokens first.
 
@@ -245,6 +270,8 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
     near = written(central_pairs(classes), "jaccard-central")
     near_sets = written(sets_of(docs, near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), size), "jaccard-sets")
     stars = written(verified(near, near_sets), "jaccard-stars")
+    further = written(recentred(near, stars, near_sets), "jaccard-recentred")
+    stars = stars.union(written(verified(further, near_sets), "jaccard-stars"))
     discard(near_sets)
     clusters = components(stars, "jaccard-clusters")
     groups = written(grouped(classes, clusters), "jaccard-groups")
@@ -262,25 +289,31 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
     hit = maybe.select("cluster", "part").distinct().join(members, ["cluster", "part"])
     wanted = hit.select(F.col("member").alias("doc_id")).union(maybe.select("doc")).distinct()
     sets = written(sets_of(docs, wanted, size), "jaccard-sets")
-    unions = (
+    # Members in one row: a pair of them is not a row, and as they are connected, one link is enough.
+    opened = (
         hit.where("not alone")
         .join(sets, F.col("member") == F.col("doc_id"))
         .groupBy("cluster", "part")
-        .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("size").alias("least"))
+        .agg(F.collect_list(F.struct("member", "size", F.col("tokens").alias("held"))).alias("members"), F.min("size").alias("least"))
+        .withColumn("union", F.array_distinct(F.flatten("members.held")))
     )
-    both = F.size(F.array_intersect("tokens", "union"))
-    opened = (
-        maybe.join(unions, ["cluster", "part"])
-        .join(sets, F.col("doc") == F.col("doc_id"))
-        .where(7 * both >= 3 * (F.col("n") + F.col("least")))
-        .select("doc", "n", "cluster", "part")
+    linked = F.filter(
+        "members",
+        lambda m: F.when(
+            (4 * F.col("n") >= 3 * m["size"]) & (4 * m["size"] >= 3 * F.col("n")),
+            7 * F.size(F.array_intersect("tokens", m["held"])) >= 3 * (F.col("n") + m["size"]),
+        ).otherwise(False),
     )
-    single = maybe.join(members.where("alone"), ["cluster", "part"])
-    pairs = single.select("doc", "n", "member", "size").union(
-        opened.join(members.where("not alone"), ["cluster", "part"]).select("doc", "n", "member", "size")
+    among = (
+        maybe.join(opened, ["cluster", "part"])
+        .join(sets, F.col("doc") == F.col("doc_id"))
+        .where(7 * F.size(F.array_intersect("tokens", "union")) >= 3 * (F.col("n") + F.col("least")))
+        .select(F.col("doc").alias("a"), F.try_element_at(F.transform(linked, lambda m: m["member"]), F.lit(1)).alias("b"))
+        .where("b is not null")
     )
-    pairs = pairs.where(sizes_allow("n", "size")).select(F.least("doc", "member").alias("a"), F.greatest("doc", "member").alias("b")).distinct()
-    more = written(verified(written(pairs, "jaccard-pairs"), sets), "jaccard-links")
+    single = maybe.join(members.where("alone"), ["cluster", "part"]).where(sizes_allow("n", "size"))
+    pairs = single.select(F.least("doc", "member").alias("a"), F.greatest("doc", "member").alias("b")).distinct()
+    more = written(verified(written(pairs, "jaccard-pairs"), sets).union(written(among, "jaccard-opened")), "jaccard-links")
     discard(sets)
     return documents.join(classes.drop("minima"), ["n", "f1", "f2"], "left"), stars.union(more)
 

@@ -126,3 +126,27 @@ def test_texts_with_much_of_a_frequent_passage_do_not_meet(spark, monkeypatch):
     found = {r["doc_id"]: r["component_id"] for r in J.document_components(docs).collect()}
     assert found == {i: 0 if i < 20 else i for i in range(40)}
     assert met == [0]
+
+
+def test_near_copies_with_many_edits_do_not_all_meet(spark, monkeypatch):
+    """Copies of a text with 1 to 9 edits: those with few link, and not each pair of them must become a row."""
+    pick = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for k in range(400):
+        own = list(base)
+        # The small ids, which win ties between centres, have edits where no minimum is.
+        for e in range((3, 1, 2, 6, 7, 8, 9, 6)[k * 8 // 400]):
+            own[pick.randrange(150)] = f"e{k}x{e}"
+        texts.append(" ".join(own))
+    docs = documents(spark, texts)
+    rows = {}
+
+    def counted(df, name, whole=J.written):
+        out = whole(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(J, "written", counted)
+    assert got(docs) == brute(list(enumerate(texts)))
+    assert {n: c for n, c in rows.items() if n in ("jaccard-candidates", "jaccard-asked", "jaccard-pairs", "jaccard-links") and c > 10 * len(texts)} == {}
