@@ -8,8 +8,8 @@ centre, which these meet. The matrix has, for each token and group, the range of
 of the group's members with that token. A representative looks up the tokens of its prefix
 (rarest first, long enough that a linked pair must share one) and gets the groups that may
 hold a link; the overlap with the union of a group's tokens bounds the overlap with any of
-its members, and only groups within the bound are opened and compared member by member, until
-one link is known, as the members are connected.
+its members, and only groups within the bound are opened and compared member by member; one
+link into a group is kept, as its members are connected.
 
 Two sets link when 100 * intersection >= 75 * union, that is 7 * intersection >= 3 * (sum of sizes).
 Links inside a group that is connected anyway are not looked for, so a group of copies costs
