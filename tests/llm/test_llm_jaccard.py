@@ -135,7 +135,7 @@ def test_near_copies_with_many_edits_do_not_all_meet(spark, monkeypatch):
     texts = []
     for k in range(400):
         own = list(base)
-        # The small ids, which win ties between centres, have edits where no minimum is.
+        # The small ids win ties between centres and have three edits, so what they miss is most of the family.
         for e in range((3, 1, 2, 6, 7, 8, 9, 6)[k * 8 // 400]):
             own[pick.randrange(150)] = f"e{k}x{e}"
         texts.append(" ".join(own))
