@@ -142,3 +142,22 @@ def test_differences_add_up_to_the_state(spark, tmp_path, profile, count):
         assert target.differences(net).count() == 0
         net.unpersist()
     assert {k: v for k, v in held_now.items() if v} == plain(changes, profile) == held(target)
+
+
+def test_large_net_changes_are_joined_by_sorting(spark, tmp_path):
+    """What a bucket gets may be more than a task can hold: beyond a size the join must be one that spills."""
+    target = made(spark, tmp_path)
+    target.merge(states(spark, target, [(S.INSERT, i, i + 1) for i in range(100)]))
+    net = states(spark, target, [(S.UPDATE_AFTER, i, 1000 + i) for i in range(0, 300, 3)])
+    # A bucket of over 64 MB: texts of 10 MB, and no more keys than in the others.
+    wide = net.withColumn("image", F.col("image").withField("name", F.repeat(F.col("image.name"), F.when(target.bucket() == 1, 2_000_000).otherwise(1))))
+    for states_, large in ((net, False), (wide, True)):
+        for rows in (target.merged(states_, range(8)), target.differences(states_, range(8))):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan, "ShuffledHashJoin" in plan) == (large, not large)
+            assert plan.count("Exchange hashpartitioning") <= 2 and "Bucketed: true" in plan  # of the net changes alone
+    assert target.fits(target.sizes(net)) and not target.fits(target.sizes(wide))
+    # Both joins give the same rows.
+    assert {tuple(r) for r in target.merged(net, range(8), True).collect()} == {tuple(r) for r in target.merged(net, range(8), False).collect()}
+    assert target.merge(net, target.sizes(net)) == list(range(8))
+    assert held(target) == plain([(S.INSERT, i, i + 1) for i in range(100)] + [(S.UPDATE_AFTER, i, 1000 + i) for i in range(0, 300, 3)], fold.LAKE)
